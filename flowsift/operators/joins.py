@@ -67,6 +67,16 @@ def salted_join(
     on = list(on)
     spread = [c for c in wide.columns if c not in on] or on
     left = wide.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread]), F.lit(salts)))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     right = dim.select("*", copies.alias("__salt"))
     return left.join(right, [*on, "__salt"], how).drop("__salt")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition rows that are about to expand, such as texts into n-grams.
+
+    The partition count is fixed, because adaptive execution would merge partitions by their size
+    before the expansion.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count, *keys)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from flowsift.operators.joins import small_table
 from flowsift.schema import quoted
 
-PREFIX = 4
+# 4096 buckets per stratum; one task orders 1/4096 of a stratum.
+PREFIX = 3
 
 
 def solid_strata(df: DataFrame, strata: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -94,7 +95,7 @@ def key_cuts(
             F.array(
                 *[
                     F.struct(
-                        F.lit(name).alias("name"),
+                        F.lit(name).alias("__name"),
                         F.col(f"{name}.__bucket").alias("__bucket"),
                         (rank(name) - F.col(f"{name}.__before")).alias("__rank"),
                     )
@@ -103,7 +104,7 @@ def key_cuts(
             )
         ).alias("__w"),
     ).select(*strata, "__w.*").where(F.col("__bucket").isNotNull())
-    crossed = asked.select(*strata, "__bucket").distinct()
+    crossed = asked.select(*strata, "__bucket")
     inside = Window.partitionBy(*strata, "__bucket").orderBy(key)
     candidates = (
         df.select(*strata, key, F.substring(key, 1, prefix).alias("__bucket"))
@@ -113,7 +114,7 @@ def key_cuts(
     cuts = (
         candidates.join(hint(asked), [*strata, "__bucket", "__rank"])
         .groupBy(*strata)
-        .agg(*[F.max(F.when(F.col("name") == name, F.col(key))).alias(name) for name in names])
+        .agg(*[F.max(F.when(F.col("__name") == name, F.col(key))).alias(name) for name in names])
     )
     return per_stratum.select(*strata, n.alias("n")).join(cuts, list(strata), "left")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.functions.text import char_ngrams, tokens
-from flowsift.operators.joins import attach
+from flowsift.operators.joins import attach, spread
 
 # Special tokens and their ids.
 PAD_ID = 0
@@ -107,8 +107,7 @@ def tfidf(
     n = df.count()
     grams = F.explode(char_ngrams(F.coalesce(F.col(text), F.lit("")), low, high))
     counts = (
-        df.select(key, text)
-        .repartition(F.col(key))
+        spread(df.select(key, text), key)
         .select(key, grams.alias("term"))
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
