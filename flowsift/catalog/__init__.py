@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-GROUPS = ("scans", "columns", "sampling", "fitting", "text")
+GROUPS = ("scans", "columns", "sampling", "fitting", "text", "evaluation", "decisions", "models", "streams")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -30,8 +30,9 @@ def pr_curve(
         F.count_if(F.col(y) == 1).alias("positives"), F.count(F.lit(1)).alias("__rows")
     )
     steps = [(i + 1) / buckets for i in range(buckets - 1)]
-    cuts = ties.agg(F.percentile_approx("score", steps, 1000).alias("cuts")).scalar()
-    ties = ties.withColumn("__range", F.size(F.filter(cuts, lambda c: c < F.col("score"))))
+    cuts = ties.agg(F.percentile_approx("score", steps, 1000).alias("cuts")).first()["cuts"] or []
+    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
+    ties = ties.withColumn("__range", F.size(F.filter(bounds, lambda c: c < F.col("score"))))
 
     group = Window.partitionBy(*keys)
     above = group.orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -70,29 +71,32 @@ def pr_curve(
 
 def average_precision(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Sum over distinct scores of recall gain times precision; 0 without positives."""
-    curve = pr_curve(df, y, score, by)
-    gain = F.sum(F.col("positives") * F.col("precision"))
-    return curve.groupBy(*by).agg(ratio(gain, F.sum("positives")).alias("average_precision"))
+    return pr_curve(df, y, score, by).groupBy(*by).agg(_area().alias("average_precision"))
 
 
-def threshold_at_recall(
-    df: DataFrame, y: str, score: str, target: float, by: Sequence[str] = ()
-) -> DataFrame:
-    """The most precise threshold with recall >= target, the lowest on ties.
+def _area() -> Column:
+    return ratio(F.sum(F.col("positives") * F.col("precision")), F.sum("positives"))
 
-    If no threshold reaches the target, the one with the highest recall.
-    """
-    curve = pr_curve(df, y, score, by)
+
+def _best_point(target: float) -> Column:
     reached = F.col("recall") >= F.lit(float(target))
     worth = F.struct(
         reached.cast("int").alias("reached"),
         F.when(reached, F.col("precision")).otherwise(F.col("recall")).alias("value"),
         (-F.col("score")).alias("lowest"),
     )
-    best = F.max_by(F.struct("score", "precision", "recall"), worth)
-    return curve.groupBy(*by).agg(best.alias("b")).select(
-        *by, F.col("b.score").alias("threshold"), "b.precision", "b.recall"
-    )
+    return F.max_by(F.struct(F.col("score").alias("threshold"), "precision", "recall"), worth)
+
+
+def threshold_at_recall(
+    df: DataFrame, y: str, score: str, target: float, by: Sequence[str] = ()
+) -> DataFrame:
+    """The most precise threshold with recall >= target, the lowest on ties.
+
+    If no threshold reaches the target, the one with the highest recall.
+    """
+    best = pr_curve(df, y, score, by).groupBy(*by).agg(_best_point(target).alias("b"))
+    return best.select(*by, "b.threshold", "b.precision", "b.recall")
 
 
 def confusion(
@@ -147,33 +151,35 @@ def min_class_recall(df: DataFrame, truth: str, predicted: str, by: Sequence[str
 def metric_table(
     df: DataFrame, truth: str, predicted: str, y: str, score: str, target: float
 ) -> DataFrame:
-    """(metric, value): the headline metrics at the threshold chosen for the target recall."""
-    chosen = threshold_at_recall(df, y, score, target)
-    limit = chosen.select("threshold").scalar()
-    counts = confusion(df, y, score, limit)
-    headline = counts.select(
+    """(metric, value): the headline metrics at the threshold chosen for the target recall.
+
+    One pass over the curve yields area and threshold, a second the counts, a third the class
+    recalls; only single rows travel between them.
+    """
+    point = pr_curve(df, y, score).agg(_area().alias("area"), _best_point(target).alias("best")).first()
+    if point["best"] is None:
+        raise ValueError("no scores to evaluate")
+    limit = point["best"]["threshold"]
+    headline = confusion(df, y, score, limit).select(
         F.inline(
             F.array(
-                F.struct(F.lit("mcc").alias("metric"), mcc_of().alias("value")),
+                F.struct(F.lit("pr_auc").alias("metric"), F.lit(point["area"]).alias("value")),
+                F.struct(F.lit("threshold"), F.lit(limit)),
+                F.struct(F.lit("mcc"), mcc_of()),
                 F.struct(F.lit("recall_at_threshold"), recall_of()),
                 F.struct(F.lit("precision_at_threshold"), precision_of()),
             )
         )
     )
     recalls = per_class_recall(df, truth, predicted)
-    named = recalls.select(
+    named = F.struct(
         F.concat(F.lit("recall_"), F.replace(F.col("class"), F.lit(" "), F.lit("_"))).alias("metric"),
         F.col("recall").alias("value"),
     )
-    worst = recalls.agg(F.min("recall").alias("value")).where(F.col("value").isNotNull())
-    area = average_precision(df, y, score)
-    return (
-        area.select(F.lit("pr_auc").alias("metric"), F.col("average_precision").alias("value"))
-        .unionByName(headline)
-        .unionByName(chosen.select(F.lit("threshold").alias("metric"), F.col("threshold").alias("value")))
-        .unionByName(named)
-        .unionByName(worst.select(F.lit("min_per_class_recall").alias("metric"), "value"))
-    )
+    # At most one row per class reaches the single task that adds the minimum.
+    worst = F.struct(F.lit("min_per_class_recall").alias("metric"), F.min("recall").alias("value"))
+    table = recalls.agg(F.collect_list(named).alias("all"), worst.alias("worst")).where("size(all) > 0")
+    return headline.unionByName(table.select(F.inline(F.concat("all", F.array("worst")))))
 
 
 @dataclass(frozen=True)
