@@ -71,14 +71,10 @@ class Fitted:
 
     @cached_property
     def joint(self) -> DataFrame:
-        pool = train.part(self.payloads, "train")
-        parts = [
-            train.joint_scores(
-                train.part(self.flows, name), FLOW_KEYS, pool, ["doc_id"], "label", self.pre, self.tabular, self.texts[0], SEED
-            ).withColumn("split", F.lit(name))
-            for name in ("train", "test")
-        ]
-        return stage(parts[0].unionByName(parts[1]), "joint", partition_by="split")
+        pool = train.pool_scores(train.part(self.payloads, "train"), ["doc_id"], "label", self.texts[0])
+        used = self.flows.where(F.col("split").isin("train", "test"))
+        joint = train.joint_scores(used, [*FLOW_KEYS, "split"], pool, ["doc_id"], "label", self.tabular, SEED)
+        return stage(joint, "joint", partition_by="split")
 
     @cached_property
     def fusion(self):
@@ -174,7 +170,7 @@ def classifier_proba(spark: SparkSession, sf: str) -> DataFrame:
 # Eight given "probabilities" per flow: its non-negative features, scaled to sum 1.
 EIGHT = ["port", "duration", "bytes", "discount", "tax", "total_price", "supplier", "line_no"]
 _sum = " + ".join(EIGHT)
-_given = {"given": f"SELECT {commas(FLOW_KEYS)}, list_transform([{commas(EIGHT)}], x -> x / ({_sum})) AS p FROM flows"}
+_given = {"given": f"SELECT {commas(FLOW_KEYS)}, [x / ({_sum}) for x in [{commas(EIGHT)}]] AS p FROM flows"}
 
 
 def given_probabilities(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,7 +304,7 @@ _minority = {
     "smote_oversample",
     with_views(
         """SELECT synthetic_id, base, neighbour, round(gap, 9) AS gap,
-                  round(list_sum(list_transform(list_zip(v, w), z -> z[1] + gap * (z[2] - z[1]))), 6) AS total
+                  round(list_sum([z[1] + gap * (z[2] - z[1]) for z in list_zip(v, w)]), 6) AS total
            FROM drawn JOIN (SELECT vec_id AS base, v, number FROM pos) USING (number) JOIN near USING (base, rk)""",
         "vectors",
         **_minority,

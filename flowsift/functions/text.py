@@ -31,28 +31,27 @@ def tokens(text: Column, level: str = "char", lowercase: bool = True) -> Column:
     raise ValueError(f"unknown token level: {level}")
 
 
+def _all_matches(text: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
 def char_ngrams(text: Column, low: int = 1, high: int = 3) -> Column:
     """Character n-grams inside words, each word padded by one space on both sides.
 
-    A padded word shorter than n is emitted once, and the larger n are skipped for it.
+    A padded word shorter than n is emitted once, and the larger n are skipped for it. Words are
+    put on lines of their own, so one pattern per n finds all grams without crossing words.
     """
-    words = F.filter(F.split(F.lower(text), SPACE_PATTERN), lambda w: w != F.lit(""))
-    padded = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-
-    def grams(word: Column) -> Column:
-        size = F.char_length(word)
-        sizes = F.sequence(F.lit(low), F.greatest(F.lit(low), F.least(F.lit(high), size)))
-        return F.flatten(
-            F.transform(
-                sizes,
-                lambda n: F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.lit(1), size - n + 1)),
-                    lambda i: F.substr(word, i, n),
-                ),
-            )
-        )
-
-    return F.flatten(F.transform(padded, grams))
+    trimmed = F.regexp_replace(F.lower(text), rf"^{SPACE_PATTERN}|{SPACE_PATTERN}$", "")
+    lines = F.concat(F.lit(" "), F.regexp_replace(trimmed, SPACE_PATTERN, " \n "), F.lit(" "))
+    grams = [_all_matches(lines, rf"(?=([^\n]{{{n}}}))[^\n]", 1) for n in range(low, high + 1)]
+    if low > 3:
+        grams.append(_all_matches(lines, rf"(?<![^\n])[^\n]{{1,{low - 1}}}(?![^\n])", 0))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.concat(*grams))
+
+
+def text_ngrams(text: Column, size: int) -> Column:
+    """All n-grams of code points over the whole text, in order."""
+    return _all_matches(text, rf"(?s)(?=(.{{{size}}})).", 1)
 
 
 def signatures(payload: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.functions.text import char_ngrams, tokens
+from flowsift.functions.text import char_ngrams, text_ngrams
 from flowsift.operators.evaluate import threshold_at_recall
 from flowsift.operators.fitting import class_weights
 
@@ -66,31 +66,19 @@ def _with_grams(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("__terms", char_ngrams(F.coalesce(F.col(text), F.lit("")), 1, 3))
 
 
-def sequence_terms(text: Column, low: int = 2, high: int = 5) -> Column:
-    """Character n-grams over the whole token sequence, each plain and with its position.
+def sequence_terms(text: Column, low: int = 2, high: int = 5, placed: int = 3) -> Column:
+    """Character n-grams over the whole text; those of size ``placed`` also with their position.
 
-    Longer n-grams carry local order; positions are powers of two, so a text of any length yields a
-    bounded number of them. The token array is bound once per text by the outer transform.
+    Longer n-grams carry local order. Positions are powers of two, so a text of any length yields
+    a bounded number of them.
     """
-
-    def grams(chars: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(low), F.greatest(F.lit(low), F.least(F.lit(high), F.size(chars)))),
-                lambda n: F.flatten(
-                    F.transform(
-                        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(chars) - n + 1)),
-                        lambda i: _with_position(F.concat_ws("", F.slice(chars, i, n)), i),
-                    )
-                ),
-            )
-        )
-
-    return F.element_at(F.transform(F.array(tokens(text)), grams), 1)
-
-
-def _with_position(gram: Column, start: Column) -> Column:
-    return F.array(gram, F.concat_ws("@", F.floor(F.log2(start)).cast("string"), gram))
+    body = F.lower(F.coalesce(text, F.lit("")))
+    grams = [text_ngrams(body, n) for n in range(low, high + 1)]
+    where = F.transform(
+        text_ngrams(body, placed),
+        lambda g, i: F.concat_ws("@", F.floor(F.log2(i + 1)).cast("string"), g),
+    )
+    return F.concat(*grams, where)
 
 
 @dataclass(frozen=True)

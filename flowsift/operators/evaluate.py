@@ -160,17 +160,15 @@ def metric_table(
     if point["best"] is None:
         raise ValueError("no scores to evaluate")
     limit = point["best"]["threshold"]
-    headline = confusion(df, y, score, limit).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("pr_auc").alias("metric"), F.lit(point["area"]).alias("value")),
-                F.struct(F.lit("threshold"), F.lit(limit)),
-                F.struct(F.lit("mcc"), mcc_of()),
-                F.struct(F.lit("recall_at_threshold"), recall_of()),
-                F.struct(F.lit("precision_at_threshold"), precision_of()),
-            )
-        )
-    )
+    values = {
+        "pr_auc": F.lit(point["area"]),
+        "threshold": F.lit(limit),
+        "mcc": mcc_of(),
+        "recall_at_threshold": recall_of(),
+        "precision_at_threshold": precision_of(),
+    }
+    rows = [F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in values.items()]
+    headline = confusion(df, y, score, limit).select(F.inline(F.array(*rows)))
     recalls = per_class_recall(df, truth, predicted)
     named = F.struct(
         F.concat(F.lit("recall_"), F.replace(F.col("class"), F.lit(" "), F.lit("_"))).alias("metric"),

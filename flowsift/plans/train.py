@@ -14,9 +14,9 @@ from flowsift.models.fusion import SCORES, fit_fusion, fusion_proba
 from flowsift.models.textmodels import TextBaseline, TextSequence
 from flowsift.operators.decide import FusionWeights
 from flowsift.operators.evaluate import GateLimits, bakeoff, evaluate_gate, gate_decision, metric_table
-from flowsift.operators.fitting import Preprocessor, contamination, minmax_average
+from flowsift.operators.fitting import contamination, minmax_average
+from flowsift.operators.joins import spread
 from flowsift.operators.sampling import pair_payloads
-from flowsift.plans.score import score_components
 from flowsift.schema import IS_ATTACK
 from flowsift.session import stage
 
@@ -90,9 +90,9 @@ def require_gate(decision: DataFrame) -> None:
 def train_text(
     payloads: DataFrame, text: str, label: str, target_recall: float = 0.80, iterations: int = 50
 ) -> tuple[TextSequence, TextBaseline]:
-    train = part(payloads, "train")
+    train = spread(part(payloads, "train").select(text, label), text)
     sequence = TextSequence.fit(train, text, label, iterations=iterations)
-    sequence = sequence.with_threshold(part(payloads, "val"), label, target_recall)
+    sequence = sequence.with_threshold(spread(part(payloads, "val").select(text, label), text), label, target_recall)
     return sequence, TextBaseline.fit(train, text, label, iterations=iterations)
 
 
@@ -111,7 +111,8 @@ def long_scores(df: DataFrame, y: str, models: Mapping[str, tuple[str, float]])
 
 
 def text_bakeoff(sequence: TextSequence, baseline: TextBaseline, test: DataFrame, label: str) -> DataFrame:
-    scored = baseline.score(sequence.score(test)).select(label, "text_proba", "baseline_proba")
+    texts = spread(test.select(label, sequence.text), sequence.text)
+    scored = baseline.score(sequence.score(texts)).select(label, "text_proba", "baseline_proba")
     long = long_scores(
         stage(scored, "text-scores"),
         label,
@@ -120,31 +121,28 @@ def text_bakeoff(sequence: TextSequence, baseline: TextBaseline, test: DataFrame
     return bakeoff(long, "model", "y", "score", "flag", "sequence", "baseline")
 
 
+def pool_scores(payloads: DataFrame, keys: Sequence[str], label: str, text: TextSequence) -> DataFrame:
+    """Payloads scored once, before any pairing: only their score travels through the join."""
+    spread_out = spread(payloads.select(*keys, label, text.text), *keys)
+    return stage(text.score(spread_out).select(*keys, label, "text_proba"), "pool-scores")
+
+
 def joint_scores(
     flows: DataFrame,
-    flow_keys: Sequence[str],
-    payloads: DataFrame,
+    keys: Sequence[str],
+    pool: DataFrame,
     text_keys: Sequence[str],
     text_label: str,
-    pre: Preprocessor,
     models: TabularModels,
-    text: TextSequence,
     seed: int = 42,
     p_attack: float = 0.7,
     p_benign: float = 0.03,
 ) -> DataFrame:
-    """The three scores of every flow, each paired with a payload that fits its label.
-
-    Payloads are scored once, before the pairing: pool rows are far fewer than pairs, and only
-    their score travels through the join.
-    """
-    pool = stage(text.score(payloads).select(*text_keys, text_label, "text_proba"), "pool-scores")
+    """The three scores of every flow, each paired with a scored payload that fits its label."""
     scored = models.classifier.score(models.forest.score(flows)).select(
-        *flow_keys, IS_ATTACK, "anomaly_score", "attack_proba", "predicted_class"
-    )
-    return pair_payloads(
-        scored, flow_keys, IS_ATTACK, pool, text_keys, text_label, p_attack, p_benign, seed
+        *keys, IS_ATTACK, "anomaly_score", "attack_proba", "predicted_class"
     )
+    return pair_payloads(scored, keys, IS_ATTACK, pool, text_keys, text_label, p_attack, p_benign, seed)
 
 
 def train_fusion(train: DataFrame) -> FusionWeights:
@@ -156,20 +154,3 @@ def fusion_bakeoff(weights: FusionWeights, test: DataFrame) -> DataFrame:
     scored = minmax_average(test.withColumn("fused", fusion_proba(weights)), SCORES, "average")
     long = long_scores(scored, IS_ATTACK, {"fusion": ("fused", 0.5), "averaging": ("average", 0.5)})
     return bakeoff(long, "model", "y", "score", "flag", "fusion", "averaging")
-
-
-__all__ = [
-    "TabularModels",
-    "fusion_bakeoff",
-    "gate_check",
-    "joint_scores",
-    "long_scores",
-    "part",
-    "require_gate",
-    "score_components",
-    "tabular_metrics",
-    "text_bakeoff",
-    "train_fusion",
-    "train_tabular",
-    "train_text",
-]

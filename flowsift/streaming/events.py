@@ -90,7 +90,7 @@ def run_to_table(stream: DataFrame, purpose: str, mode: str = "append") -> DataF
     root = scratch_dir(spark, purpose)
     schema = stream.schema
     run_available(stream, batch_writer(f"{root}/data"), mode, f"{root}/checkpoint")
-    return spark.read.schema(schema.add("batch", "bigint")).parquet(f"{root}/data")
+    return spark.read.schema(schema.add("batch", "long")).parquet(f"{root}/data")
 
 
 def latest_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
