@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.functions.labels import attack_score, label_id, label_name, predicted_class
+from flowsift.models.persist import reloaded
 from flowsift.operators.fitting import class_weights
 
 
@@ -32,6 +33,7 @@ class TreeSettings:
     column_share: float = 0.8
     min_weight: int = 1
     trees: int = 60
+    bins: int = 256
 
 
 @dataclass(frozen=True)
@@ -78,10 +80,11 @@ class AttackClassifier:
                     weightCol="weight",
                     numTrees=settings.trees,
                     maxDepth=settings.max_depth,
+                    maxBins=settings.bins,
                     subsamplingRate=settings.subsample,
                     seed=seed,
                 )
-                models = (rf.fit(data.where(~F.col("__val"))),)
+                models = (reloaded(rf.fit(data.where(~F.col("__val"))), train.sparkSession),)
             elif kind == "boosted":
                 models = tuple(
                     GBTClassifier(
@@ -91,6 +94,7 @@ class AttackClassifier:
                         validationIndicatorCol="__val" if val is not None else None,
                         maxIter=settings.rounds,
                         maxDepth=settings.max_depth,
+                        maxBins=settings.bins,
                         stepSize=settings.learning_rate,
                         subsamplingRate=settings.subsample,
                         featureSubsetStrategy=str(settings.column_share),

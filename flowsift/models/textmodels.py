@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.functions.text import char_ngrams, text_ngrams
+from flowsift.models.persist import reloaded
 from flowsift.operators.evaluate import threshold_at_recall
 from flowsift.operators.fitting import class_weights
 
@@ -51,6 +52,7 @@ class TextBaseline:
             )
             unit = Normalizer(inputCol="__x", outputCol="__v", p=2.0)
             model = _logistic("weight", iterations).fit(unit.transform(weigh.transform(counted)))
+            model = reloaded(model, train.sparkSession)
         finally:
             data.unpersist()
         return cls(PipelineModel([counter, weigh, unit, model]), text)
@@ -107,7 +109,7 @@ class TextSequence:
         data = train.select(text, y.alias("__y"), weight.alias("weight"))
         data = cls._vectors(data, text, width).select("__v", "__y", "weight").persist()
         try:
-            model = _logistic("weight", iterations).fit(data)
+            model = reloaded(_logistic("weight", iterations).fit(data), train.sparkSession)
         finally:
             data.unpersist()
         return cls(model, text, width)

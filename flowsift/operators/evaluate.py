@@ -31,8 +31,8 @@ def pr_curve(
     )
     steps = [(i + 1) / buckets for i in range(buckets - 1)]
     cuts = ties.agg(F.percentile_approx("score", steps, 1000).alias("cuts")).first()["cuts"] or []
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    ties = ties.withColumn("__range", F.size(F.filter(bounds, lambda c: c < F.col("score"))))
+    passed = [(F.col("score") > F.lit(c)).cast("int") for c in sorted(set(cuts))]
+    ties = ties.withColumn("__range", sum(passed, F.lit(0)))
 
     group = Window.partitionBy(*keys)
     above = group.orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -128,7 +128,7 @@ def f1_of() -> Column:
 def mcc_of() -> Column:
     """Matthews correlation in doubles (the products leave the bigint range); 0 if a margin is empty."""
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
-    margins = F.sqrt(tp + fp) * F.sqrt(tp + fn) * F.sqrt(tn + fp) * F.sqrt(tn + fn)
+    margins = F.sqrt((tp + fp) * (tp + fn)) * F.sqrt((tn + fp) * (tn + fn))
     return ratio(tp * tn - fp * fn, margins)
 
 

@@ -82,18 +82,15 @@ def encode_tokens(
         else:
             coded = F.transform(head, lambda t: F.lit(UNKNOWN_ID))
         return df.select(*keys, F.slice(F.concat(coded, padding), 1, max_len).alias("ids"))
-    spread = df.select(*keys, F.posexplode_outer(head).alias("pos", "token"))
-    coded = attach(spread, vocab.select("token", "id"), ["token"], how="left").groupBy(*keys).agg(
-        F.array_sort(
-            F.collect_list(
-                F.when(
-                    F.col("pos").isNotNull(),
-                    F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id")),
-                )
-            )
-        ).alias("__pairs")
+    placed = df.select(*keys, F.posexplode_outer(head).alias("__pos", "__token"))
+    dim = vocab.select(F.col("token").alias("__token"), F.col("id").alias("__id"))
+    pair = F.struct("__pos", F.coalesce("__id", F.lit(UNKNOWN_ID)).alias("__id"))
+    coded = (
+        attach(placed, dim, ["__token"], how="left")
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.when(F.col("__pos").isNotNull(), pair))).alias("__pairs"))
     )
-    return coded.select(*keys, F.slice(F.concat(F.col("__pairs.id"), padding), 1, max_len).alias("ids"))
+    return coded.select(*keys, F.slice(F.concat(F.col("__pairs.__id"), padding), 1, max_len).alias("ids"))
 
 
 def tfidf(

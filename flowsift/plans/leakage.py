@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowsift.models.persist import reloaded
 from flowsift.operators.evaluate import average_precision
 from flowsift.operators.sampling import kfold
 from flowsift.operators.smote import smote
@@ -26,6 +27,7 @@ def _fold_scores(train: DataFrame, held: DataFrame, vector: str, target: str, it
     model = LogisticRegression(
         featuresCol="x", labelCol="y", maxIter=iterations, regParam=0.0, standardization=False
     ).fit(data)
+    model = reloaded(model, train.sparkSession)
     scored = model.transform(held.withColumn("x", array_to_vector(vector)))
     return scored.select(F.col("fold"), F.col(target).alias("y"), vector_to_array("probability")[1].alias("score"))
 

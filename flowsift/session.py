@@ -32,15 +32,22 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     Only a local master may fall back to the machine's temporary folder: on a cluster the
     executors would not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="flowsift-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch(spark)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_folders: dict[str, str] = {}
+
+
+def _local_scratch(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if context.applicationId not in _folders:
+        _folders[context.applicationId] = tempfile.mkdtemp(prefix="flowsift-")
+    return _folders[context.applicationId]
+
+
 def stage(df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
