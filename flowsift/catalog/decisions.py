@@ -137,7 +137,7 @@ _cells = ", ".join(
 def topk_features(spark: SparkSession, sf: str) -> DataFrame:
     df = apply_imputer(inf_to_null(views.flows(spark, sf), FLOW_COLS), dict.fromkeys(FLOW_COLS, 0.0))
     scaled = apply_scaler(df, FIXED_SCALES)
-    top = decide.top_features(F.array(*FLOW_COLS), FLOW_COLS, IMPORTANCES, 3)
+    top = decide.top_features([F.col(c) for c in FLOW_COLS], FLOW_COLS, IMPORTANCES, 3)
     return scaled.select(*FLOW_KEYS, F.posexplode(top).alias("place", "t")).select(*FLOW_KEYS, "place", "t.*")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
@@ -58,6 +60,7 @@ class AttackClassifier:
         settings: TreeSettings = TreeSettings(),
         kind: str = "boosted",
         seed: int = 0,
+        parallelism: int = 4,
     ) -> AttackClassifier:
         """Rows are weighted by class balance; validation rows stop the boosting early."""
         data = class_weights(train.select(*features, label), label).withColumn("__val", F.lit(False))
@@ -86,8 +89,9 @@ class AttackClassifier:
                 )
                 models = (reloaded(rf.fit(data.where(~F.col("__val"))), train.sparkSession),)
             elif kind == "boosted":
-                models = tuple(
-                    GBTClassifier(
+
+                def boost(c: int) -> GBTClassificationModel:
+                    return GBTClassifier(
                         featuresCol="__x",
                         labelCol="__is",
                         weightCol="weight",
@@ -101,8 +105,10 @@ class AttackClassifier:
                         minInstancesPerNode=settings.min_weight,
                         seed=seed,
                     ).fit(data.withColumn("__is", (F.col("__y") == float(c)).cast("double")))
-                    for c in classes
-                )
+
+                # The fits are independent; side by side they fill the gaps between small stages.
+                with ThreadPool(min(parallelism, len(classes))) as pool:
+                    models = tuple(pool.map(inheritable_thread_target(boost), classes))
             else:
                 raise ValueError(f"unknown classifier kind: {kind}")
         finally:

@@ -90,44 +90,34 @@ def route(
 
 
 def top_features(
-    values: Column, names: Sequence[str], importances: Mapping[str, float], k: int
+    values: Sequence[Column], names: Sequence[str], importances: Mapping[str, float], k: int
 ) -> Column:
     """The k largest importance * |value| as structs (feature, scaled_value, importance).
 
     Row-local: one sort of a feature-length array. Ties go to the later feature.
     """
-    ranked = F.array_sort(
-        F.zip_with(
-            values,
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("position"),
-                        F.lit(name).alias("feature"),
-                        F.lit(float(importances.get(name, 0.0))).alias("importance"),
-                    )
-                    for i, name in enumerate(names)
-                ]
-            ),
-            lambda v, f: F.struct(
-                (-(F.abs(v) * f["importance"])).alias("less"),
-                (-f["position"]).alias("position"),
-                f["feature"].alias("feature"),
-                F.round(v, 4).alias("scaled_value"),
-                F.round(f["importance"], 4).alias("importance"),
-            ),
+    entries = []
+    for i, (value, name) in enumerate(zip(values, names, strict=True)):
+        weight = float(importances.get(name, 0.0))
+        entries.append(
+            F.struct(
+                (F.abs(value) * F.lit(weight)).alias("contribution"),
+                F.lit(i).alias("position"),
+                F.struct(
+                    F.lit(name).alias("feature"),
+                    F.round(value, 4).alias("scaled_value"),
+                    F.lit(round(weight, 4)).alias("importance"),
+                ).alias("shown"),
+            )
         )
-    )
-    return F.transform(
-        F.slice(ranked, 1, k),
-        lambda s: F.struct(s["feature"], s["scaled_value"], s["importance"]),
-    )
+    ranked = F.slice(F.sort_array(F.array(*entries), asc=False), 1, k)
+    return ranked["shown"]
 
 
 def explained(
     df: DataFrame,
     has_features: Column,
-    scaled: Column,
+    scaled: Sequence[Column],
     names: Sequence[str],
     importances: Mapping[str, float],
     payload: str = "payload",

@@ -19,7 +19,7 @@ from flowsift.operators.joins import attach
 from flowsift.schema import quoted
 
 # Up to this many rows one task can hold a column's distinct values.
-ONE_PASS_ROWS = 5_000_000
+ONE_PASS_ROWS = 1_000_000
 ACCURACY = 10_000
 
 

@@ -77,7 +77,7 @@ class ScoringBundle:
             self.fusion,
             settings,
         )
-        vector = F.array(*[F.col(quoted(c)).cast("double") for c in names])
+        vector = [F.col(quoted(c)).cast("double") for c in names]
         shaped = explained(
             routed, has_features, vector, names, self.classifier.importances(), PAYLOAD, settings
         )

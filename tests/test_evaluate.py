@@ -136,8 +136,8 @@ def test_gate_rules(spark):
 
 def test_top_features(spark):
     names = ["a", "b", "c"]
-    df = spark.createDataFrame([([1.0, -2.0, 1.0],)], "v array<double>")
-    top = df.select(decide.top_features(F.col("v"), names, {"a": 0.3, "b": 0.1, "c": 0.3}, 2).alias("t")).first()["t"]
+    df = spark.createDataFrame([(1.0, -2.0, 1.0)], "a double, b double, c double")
+    top = df.select(decide.top_features([F.col(n) for n in names], names, {"a": 0.3, "b": 0.1, "c": 0.3}, 2).alias("t")).first()["t"]
     assert [r["feature"] for r in top] == ["c", "a"]
     assert top[0].asDict() == {"feature": "c", "scaled_value": 1.0, "importance": 0.3}
 
