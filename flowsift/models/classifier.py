@@ -60,7 +60,7 @@ class AttackClassifier:
         settings: TreeSettings = TreeSettings(),
         kind: str = "boosted",
         seed: int = 0,
-        parallelism: int = 4,
+        parallelism: int = 8,
     ) -> AttackClassifier:
         """Rows are weighted by class balance; validation rows stop the boosting early."""
         data = class_weights(train.select(*features, label), label).withColumn("__val", F.lit(False))
@@ -108,7 +108,7 @@ class AttackClassifier:
 
                 # The fits are independent; side by side they fill the gaps between small stages.
                 with ThreadPool(min(parallelism, len(classes))) as pool:
-                    models = tuple(pool.map(inheritable_thread_target(boost), classes))
+                    models = tuple(pool.map(inheritable_thread_target(train.sparkSession)(boost), classes))
             else:
                 raise ValueError(f"unknown classifier kind: {kind}")
         finally:

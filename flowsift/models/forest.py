@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.functions.draws import draw_key
+from flowsift.functions.draws import draw_key, index_draw, unit_draw
 from flowsift.functions.numeric import threshold_flag
 from flowsift.operators.fitting import column_quantiles
 from flowsift.schema import quoted
@@ -75,30 +75,32 @@ class IsolationForest:
     ) -> IsolationForest:
         """Grow every tree on its own hash-drawn subsample.
 
-        A row joins a tree when its hash for that tree falls below a share a little above
-        subsample / rows, so only the drawn rows are shuffled; each tree then keeps its smallest
-        hashes, an exact sample without replacement.
+        Each row makes a few keyed draws; a draw hits with a small probability and then names one
+        tree. Only hits are shuffled, a little more than a subsample per tree, and a tree keeps its
+        smallest hashes: an exact sample without replacement. Small tables send every row to
+        every tree.
         """
         total = df.count()
         size = min(max_samples, total)
-        share = 1.0 if total <= 2 * size else 1.6 * size / total
         limit = max(1, math.ceil(math.log2(max(size, 2))))
+        share = 1.6 * size / max(total, 1)
         key = F.xxhash64(draw_key(keys, seed))
-        bound = int(share * 2.0**63) if share < 1.0 else 2**63 - 1
-        drawn = F.filter(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(trees - 1)),
-                lambda t: F.struct(t.alias("tree"), F.xxhash64(key, t).bitwiseAND(F.lit(2**63 - 1)).alias("h")),
-            ),
-            lambda s: s["h"] <= F.lit(bound),
-        )
-        rows = df.select(
-            F.array(*[F.col(quoted(c)).cast("double") for c in features]).alias("x"), F.explode(drawn).alias("d")
-        ).select("x", "d.tree", "d.h")
+        keyed = df.select(F.array(*[F.col(quoted(c)).cast("double") for c in features]).alias("x"), key.alias("k"))
+        if share > 0.25:
+            rows = keyed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        else:
+            draws = math.ceil(trees * share)
+            hit = trees * share / draws
+            each = keyed if draws == 1 else keyed.withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+            turn = F.lit(1) if draws == 1 else F.col("d")
+            rows = each.where(unit_draw([F.col("k"), turn], "hit") < hit).withColumn(
+                "tree", index_draw([F.col("k"), turn], F.lit(trees), "tree").cast("int")
+            )
+        rows = rows.select("x", "tree", F.xxhash64("k", "tree").alias("h"))
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
             tree = int(pdf["tree"].iloc[0])
-            pdf = pdf.nsmallest(size, "h")
+            pdf = pdf.drop_duplicates("h").nsmallest(size, "h")
             x = np.stack(pdf["x"].to_numpy())
             nodes = _grow(x, np.random.default_rng([seed, tree]), limit)
             out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left_node", "right_node", "path"])

@@ -18,7 +18,8 @@ from flowsift.models.persist import reloaded
 from flowsift.operators.evaluate import threshold_at_recall
 from flowsift.operators.fitting import class_weights
 
-MAX_TERMS = 1 << 20
+# Far above the n-grams of any corpus: the vocabulary is bounded by min_df, not by this.
+MAX_TERMS = 1 << 24
 
 
 def _logistic(weight: str, iterations: int) -> LogisticRegression:

@@ -20,18 +20,19 @@ def pr_curve(
 ) -> DataFrame:
     """(by, score, positives, tp, fp, precision, recall) at every distinct score, highest first.
 
-    Tied scores are merged before the shuffle. The running sums are taken inside score ranges cut
+    Rows without a score are left out. Tied scores are merged before the shuffle. The running sums are taken inside score ranges cut
     at approximate quantiles, and each range adds the totals of the ranges above it, so no task
     orders all scores.
     """
     by = list(by)
-    keyed, keys = solid_strata(df, by)
+    keyed, keys = solid_strata(df.where(F.col(score).isNotNull()), by)
     ties = keyed.groupBy(*by, *keys, F.col(score).alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("positives"), F.count(F.lit(1)).alias("__rows")
     )
     steps = [(i + 1) / buckets for i in range(buckets - 1)]
     cuts = ties.agg(F.percentile_approx("score", steps, 1000).alias("cuts")).first()["cuts"] or []
-    passed = [(F.col("score") > F.lit(c)).cast("int") for c in sorted(set(cuts))]
+    # Never NULL, so both uses of the ties keep one plan and share its shuffle.
+    passed = [F.coalesce((F.col("score") > F.lit(c)).cast("int"), F.lit(0)) for c in sorted(set(cuts))]
     ties = ties.withColumn("__range", sum(passed, F.lit(0)))
 
     group = Window.partitionBy(*keys)

@@ -18,9 +18,10 @@ from flowsift.operators.columns import reindex
 from flowsift.operators.joins import attach
 from flowsift.schema import quoted
 
-# Up to this many rows one task can hold a column's distinct values.
-ONE_PASS_ROWS = 1_000_000
-ACCURACY = 10_000
+# Up to this many rows one buffer per column is the cheaper way.
+ONE_PASS_ROWS = 200_000
+# Sketch size grows with the table between these bounds, which bounds buffers and brackets.
+ACCURACY = (10_000, 100_000)
 
 
 def column_quantiles(
@@ -28,7 +29,7 @@ def column_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     one_pass_rows: int = ONE_PASS_ROWS,
-    accuracy: int = ACCURACY,
+    accuracy: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles (linear interpolation) of several columns; missing values are ignored.
 
@@ -37,47 +38,56 @@ def column_quantiles(
     only the values inside the brackets are counted and ordered.
     """
     cols, probs = list(cols), [float(p) for p in probs]
-    if df.count() <= one_pass_rows:
+    total = df.count()
+    if total <= one_pass_rows:
         probabilities = F.array(*[F.lit(p) for p in probs])
         row = df.agg(
             *[F.percentile(F.col(quoted(c)), probabilities).alias(f"q{i}") for i, c in enumerate(cols)]
         ).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(cols)}
-    return _bracketed_quantiles(df, cols, probs, accuracy)
+    if accuracy is None:
+        accuracy = min(max(total // 10_000, ACCURACY[0]), ACCURACY[1])
+    found: dict[tuple[int, int], float | None] = {}
+    pending = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
+    margin = 4.0 / accuracy
+    while pending:
+        # A bracket that missed its rank is widened, up to the whole column.
+        found.update(_bracketed_quantiles(df, cols, probs, pending, margin, accuracy))
+        pending = [k for k in pending if k not in found]
+        margin *= 16
+    return {c: [found[i, j] for j in range(len(probs))] for i, c in enumerate(cols)}
 
 
 def _bracketed_quantiles(
-    df: DataFrame, cols: list[str], probs: list[float], accuracy: int
-) -> dict[str, list[float | None]]:
-    margin = 4.0 / accuracy
-    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
+    df: DataFrame,
+    cols: list[str],
+    probs: list[float],
+    pending: list[tuple[int, int]],
+    margin: float,
+    accuracy: int,
+) -> dict[tuple[int, int], float | None]:
+    """Quantiles whose rank lies within ``margin`` of the approximate one; None without values."""
+    edges = sorted({min(max(probs[j] + d, 0.0), 1.0) for _, j in pending for d in (-margin, margin)})
+    needed = sorted({i for i, _ in pending})
     row = df.agg(
-        *[F.count(F.col(quoted(c))).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[
-            F.percentile_approx(F.col(quoted(c)), [*edges, 0.0, 1.0], accuracy).alias(f"e{i}")
-            for i, c in enumerate(cols)
-        ],
+        *[F.count(F.col(quoted(cols[i]))).alias(f"n{i}") for i in needed],
+        *[F.percentile_approx(F.col(quoted(cols[i])), edges, accuracy).alias(f"e{i}") for i in needed],
     ).first()
-
     wanted: dict[tuple[int, int], tuple[float, float, int, int, float]] = {}
-    for i, _ in enumerate(cols):
-        count, cuts = row[f"n{i}"], row[f"e{i}"]
+    found: dict[tuple[int, int], float | None] = {}
+    for i, j in pending:
+        count, cuts, p = row[f"n{i}"], row[f"e{i}"], probs[j]
         if not count:
+            found[i, j] = None
             continue
-        for j, p in enumerate(probs):
-            low = cuts[edges.index(min(max(p - margin, 0.0), 1.0))] if p - margin > 0 else -math.inf
-            high = cuts[edges.index(min(max(p + margin, 0.0), 1.0))] if p + margin < 1 else math.inf
-            position = p * (count - 1)
-            first = math.floor(position)
-            wanted[i, j] = (low, high, first + 1, math.ceil(position) + 1, position - first)
-
-    found = _ranked_values(df, cols, wanted)
-    retry = [k for k in wanted if k not in found]
-    if retry:
-        # The sketch missed its error bound: order the whole column instead of a bracket of it.
-        whole = {k: (-math.inf, math.inf, *wanted[k][2:]) for k in retry}
-        found.update(_ranked_values(df, cols, whole))
-    return {c: [found.get((i, j)) for j in range(len(probs))] for i, c in enumerate(cols)}
+        low = cuts[edges.index(p - margin)] if p - margin > 0 else -math.inf
+        high = cuts[edges.index(p + margin)] if p + margin < 1 else math.inf
+        position = p * (count - 1)
+        first = math.floor(position)
+        wanted[i, j] = (low, high, first + 1, math.ceil(position) + 1, position - first)
+    if wanted:
+        found.update(_ranked_values(df, cols, wanted))
+    return found
 
 
 def _ranked_values(

@@ -22,7 +22,7 @@ def promote(
         if row is None or row["latest"] is None:
             raise ValueError(f"model {name!r} has no registered version")
         version = row["latest"]
-    kept = aliases.where(~((F.col("name") == name) & (F.col("alias") == alias)))
+    kept = aliases.where(~(F.col("name").eqNullSafe(name) & F.col("alias").eqNullSafe(alias)))
     entry = aliases.sparkSession.createDataFrame(
         [(name, alias, int(version))], "name string, alias string, version bigint"
     )
