@@ -18,8 +18,9 @@ from flowsift.operators.columns import reindex
 from flowsift.operators.joins import attach
 from flowsift.schema import quoted
 
-# Up to this many rows one buffer per column is the cheaper way.
-ONE_PASS_ROWS = 200_000
+# The one-pass way buffers every distinct value of every column in one task: rows * columns up to
+# this bound stay below about a gigabyte.
+ONE_PASS_CELLS = 8_000_000
 # Sketch size grows with the table between these bounds, which bounds buffers and brackets.
 ACCURACY = (10_000, 100_000)
 
@@ -28,7 +29,7 @@ def column_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
-    one_pass_rows: int = ONE_PASS_ROWS,
+    one_pass_cells: int = ONE_PASS_CELLS,
     accuracy: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles (linear interpolation) of several columns; missing values are ignored.
@@ -39,7 +40,7 @@ def column_quantiles(
     """
     cols, probs = list(cols), [float(p) for p in probs]
     total = df.count()
-    if total <= one_pass_rows:
+    if total * len(cols) <= one_pass_cells:
         probabilities = F.array(*[F.lit(p) for p in probs])
         row = df.agg(
             *[F.percentile(F.col(quoted(c)), probabilities).alias(f"q{i}") for i, c in enumerate(cols)]
@@ -155,11 +156,11 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
 
 
 def fit_imputer(
-    df: DataFrame, cols: Sequence[str], strategy: str = "median", one_pass_rows: int = ONE_PASS_ROWS
+    df: DataFrame, cols: Sequence[str], strategy: str = "median", one_pass_cells: int = ONE_PASS_CELLS
 ) -> dict[str, float]:
     """Fill value per column; 0 for a column without any value."""
     if strategy == "median":
-        fills = {c: q[0] for c, q in column_quantiles(df, cols, [0.5], one_pass_rows).items()}
+        fills = {c: q[0] for c, q in column_quantiles(df, cols, [0.5], one_pass_cells).items()}
     elif strategy == "mean":
         row = df.agg(*[F.avg(F.col(quoted(c))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
         fills = dict(zip(cols, row, strict=True))
@@ -179,7 +180,7 @@ def apply_imputer(df: DataFrame, fills: Mapping[str, float]) -> DataFrame:
 
 
 def fit_scaler(
-    df: DataFrame, cols: Sequence[str], kind: str = "standard", one_pass_rows: int = ONE_PASS_ROWS
+    df: DataFrame, cols: Sequence[str], kind: str = "standard", one_pass_cells: int = ONE_PASS_CELLS
 ) -> dict[str, tuple[float, float]]:
     """(center, scale) per column; a scale of zero becomes 1.
 
@@ -194,7 +195,7 @@ def fit_scaler(
         ).first()
         pairs = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
     elif kind == "robust":
-        quartiles = column_quantiles(df, cols, [0.25, 0.5, 0.75], one_pass_rows)
+        quartiles = column_quantiles(df, cols, [0.25, 0.5, 0.75], one_pass_cells)
         pairs = {c: (q[1], None if q[1] is None else q[2] - q[0]) for c, q in quartiles.items()}
     else:
         raise ValueError(f"unknown scaler: {kind}")
@@ -232,10 +233,10 @@ class Preprocessor:
             *[F.col(quoted(k)) for k in keep], *[finite(F.col(quoted(c))).alias(c) for c in self.features]
         )
 
-    def fit(self, train: DataFrame, one_pass_rows: int = ONE_PASS_ROWS) -> Preprocessor:
+    def fit(self, train: DataFrame, one_pass_cells: int = ONE_PASS_CELLS) -> Preprocessor:
         clean = self._clean(train, ())
-        fills = fit_imputer(clean, self.features, self.strategy, one_pass_rows)
-        scales = fit_scaler(apply_imputer(clean, fills), self.features, self.scaler, one_pass_rows)
+        fills = fit_imputer(clean, self.features, self.strategy, one_pass_cells)
+        scales = fit_scaler(apply_imputer(clean, fills), self.features, self.scaler, one_pass_cells)
         return Preprocessor(self.features, self.strategy, self.scaler, fills, scales)
 
     def transform(self, df: DataFrame, keep: Sequence[str] = (), as_float: bool = True) -> DataFrame:

@@ -37,7 +37,7 @@ COLS = ["a.b", "c", "flat", "empty"]
 def test_bracketed_quantiles_are_exact(numbers, accuracy):
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
     one_pass = fitting.column_quantiles(numbers, COLS, probs)
-    two_pass = fitting.column_quantiles(numbers, COLS, probs, one_pass_rows=0, accuracy=accuracy)
+    two_pass = fitting.column_quantiles(numbers, COLS, probs, one_pass_cells=0, accuracy=accuracy)
     for c in COLS:
         for a, b in zip(one_pass[c], two_pass[c], strict=True):
             assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12, abs=1e-12)
@@ -45,7 +45,7 @@ def test_bracketed_quantiles_are_exact(numbers, accuracy):
 
 def test_quantiles_equal_numpy(numbers):
     values = [r["c"] for r in numbers.select("c").collect() if r["c"] is not None]
-    got = fitting.column_quantiles(numbers, ["c"], [0.3, 0.5], one_pass_rows=0)["c"]
+    got = fitting.column_quantiles(numbers, ["c"], [0.3, 0.5], one_pass_cells=0)["c"]
     assert got == pytest.approx(list(np.quantile(values, [0.3, 0.5])))
 
 
