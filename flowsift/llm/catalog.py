@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowsift.llm.fingerprints import compare_with_edits
 from flowsift.llm.mixing import mix_sources
 from flowsift.llm.words import spaced_count
 
@@ -71,3 +72,8 @@ SELECT doc_id, size, source_size, target,
        (epochs * size + greatest(0, least(size, floor(target - epochs * source_size + 0.5) - start)))::BIGINT AS taken
 FROM ordered
 """
+
+
+@query
+def op6_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return compare_with_edits(table(spark, sf, "documents"))
