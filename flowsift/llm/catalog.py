@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from flowsift.llm.fingerprints import compare_with_edits
 from flowsift.llm.mixing import mix_sources
-from flowsift.llm.words import spaced_count
+from flowsift.llm.quality import classify_quality
+from flowsift.llm.words import held_out, spaced_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +78,11 @@ FROM ordered
 @query
 def op6_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return compare_with_edits(table(spark, sf, "documents"))
+
+
+@query
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held = held_out(F.col("doc_id"), 4, 2)
+    scored, _ = classify_quality(docs, table(spark, sf, "labels"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))

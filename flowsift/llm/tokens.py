@@ -18,18 +18,23 @@ _MULT = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _separators(keep: str) -> np.ndarray:
+def _word_bytes(keep: str) -> np.ndarray:
     table = np.ones(256, bool)
     if keep == "spaced":
         table[[0x20, 9, 10, 11, 12, 13]] = False
+    elif keep == "line":
+        table[10] = False
     else:
         table[:128] = False
-        table[0x30:0x3A] = True
         table[0x61:0x7B] = True
+        if keep == "alnum":
+            table[0x30:0x3A] = True
     return table
 
 
-_WORD_BYTE = {"spaced": _separators("spaced"), "alnum": _separators("alnum")}
+#: Bytes inside words: not white space, not a line end, lower-case letters and digits, letters. Bytes
+#: of characters beyond ASCII always belong to words.
+_WORD_BYTE = {keep: _word_bytes(keep) for keep in ("spaced", "line", "alnum", "letters")}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
