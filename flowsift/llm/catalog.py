@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.llm.fingerprints import compare_with_edits
+from flowsift.llm.language import learn_and_identify
 from flowsift.llm.mixing import mix_sources
 from flowsift.llm.quality import classify_quality
 from flowsift.llm.words import held_out, spaced_count
@@ -86,3 +87,10 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     held = held_out(F.col("doc_id"), 4, 2)
     scored, _ = classify_quality(docs, table(spark, sf, "labels"), ~held)
     return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    held = held_out(F.col("doc_id"), 3, 1)
+    found = learn_and_identify(table(spark, sf, "documents"), ~held)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
