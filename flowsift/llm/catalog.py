@@ -11,6 +11,7 @@ from flowsift.llm.fingerprints import compare_with_edits
 from flowsift.llm.language import learn_and_identify
 from flowsift.llm.mixing import mix_sources
 from flowsift.llm.quality import classify_quality
+from flowsift.llm.substrings import remove_repeats
 from flowsift.llm.words import held_out, spaced_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,9 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     held = held_out(F.col("doc_id"), 3, 1)
     found = learn_and_identify(table(spark, sf, "documents"), ~held)
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
