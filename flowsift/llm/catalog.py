@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.llm.fingerprints import compare_with_edits
+from flowsift.llm.jaccard import join_similar
 from flowsift.llm.language import learn_and_identify
 from flowsift.llm.mixing import mix_sources
 from flowsift.llm.quality import classify_quality
@@ -101,3 +102,8 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = remove_repeats(table(spark, sf, "documents"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return join_similar(table(spark, sf, "documents"))
