@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowsift.llm.decontaminate import find_contamination, hit_words, is_contaminated
 from flowsift.llm.fingerprints import compare_with_edits
 from flowsift.llm.jaccard import join_similar
 from flowsift.llm.language import learn_and_identify
@@ -107,3 +108,17 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return join_similar(table(spark, sf, "documents"))
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = find_contamination(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    items = F.coalesce("hit_items", F.array().cast("array<string>"))
+    return found.withColumn("n_hit", hit_words()).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
