@@ -14,6 +14,7 @@ from flowsift.llm.language import learn_and_identify
 from flowsift.llm.mixing import mix_sources
 from flowsift.llm.quality import classify_quality
 from flowsift.llm.substrings import remove_repeats
+from flowsift.llm.warc import archive_round_trip
 from flowsift.llm.words import held_out, spaced_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,92 @@ def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+@query
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op7_warc"] = """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), kept AS (
+  SELECT payload, max(page_id) AS kept FROM sized WHERE payload_bytes >= 1000 GROUP BY payload HAVING count(*) > 1
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM sized LEFT JOIN kept USING (payload)
+"""
+
+ORACLES["op2_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 12), ' ')) AS k FROM places
+), smallest AS (
+  SELECT k, min(doc_id) AS m FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM windows JOIN smallest USING (k) WHERE m < doc_id
+), per_doc AS (
+  SELECT doc_id, list(j) AS gone FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w
+              ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN per_doc USING (doc_id)
+"""
+
+ORACLES["op8_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), items AS (
+  SELECT item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM benchmark
+), starts AS (
+  SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0
+), phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(list_slice(w, i, i + 12), ' ') AS k FROM starts
+), lengths AS (
+  SELECT DISTINCT n FROM phrases
+), places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT doc_id, i, p.n, item_id FROM places JOIN phrases p ON p.n = places.n AND p.k = array_to_string(list_slice(w, i, i + places.n - 1), ' ')
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES["op3_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS s FROM starts
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), ends AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(doc_id, r) AS (
+  SELECT a, b FROM ends UNION SELECT reach.doc_id, ends.b FROM reach JOIN ends ON ends.a = reach.r
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)
+"""
