@@ -11,6 +11,7 @@ from flowsift.llm.decontaminate import find_contamination, hit_words, is_contami
 from flowsift.llm.fingerprints import compare_with_edits
 from flowsift.llm.jaccard import join_similar
 from flowsift.llm.language import learn_and_identify
+from flowsift.llm.licenses import license_report
 from flowsift.llm.mixing import mix_sources
 from flowsift.llm.quality import classify_quality
 from flowsift.llm.substrings import remove_repeats
@@ -212,3 +213,8 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
 FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)
 """
+
+
+@query
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return license_report(table(spark, sf, "documents"))
