@@ -13,6 +13,7 @@ from flowsift.llm.jaccard import join_similar
 from flowsift.llm.language import learn_and_identify
 from flowsift.llm.licenses import license_report
 from flowsift.llm.mixing import mix_sources
+from flowsift.llm.pii import replace_entities
 from flowsift.llm.quality import classify_quality
 from flowsift.llm.substrings import remove_repeats
 from flowsift.llm.warc import archive_round_trip
@@ -218,3 +219,13 @@ FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS m FROM
 @query
 def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return license_report(table(spark, sf, "documents"))
+
+
+#: Key of the surrogates of the registered query. A run on real data passes a secret of its own.
+SURROGATE_KEY = "registered-query"
+
+
+@query
+def op10_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return replace_entities(docs, SURROGATE_KEY).withColumn("entity_kinds", F.array_join("entity_kinds", ","))

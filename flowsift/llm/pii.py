@@ -1,0 +1,231 @@
+"""Surrogates for personal data and secrets; DataFrame functions only."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from flowsift.session import stage
+
+# Given names whose gender and script a surrogate keeps.
+GIVEN = {
+    ("f", "latin"): "Mary Patricia Jennifer Linda Barbara Susan Jessica Sarah Karen Margaret Sophie Julia Claudia Ingrid Lucía Carmen Camille Amélie".split(),
+    ("m", "latin"): "James Robert John Michael David William Richard Joseph Thomas Charles Hans Jürgen Klaus Pierre Jacques Carlos Miguel Javier".split(),
+    ("f", "cyrillic"): "Анна Мария Ольга Елена Наталья Светлана Татьяна Ирина Екатерина Юлия".split(),
+    ("m", "cyrillic"): "Иван Дмитрий Алексей Сергей Андрей Михаил Николай Владимир Павел Юрий".split(),
+}
+# Syllables and endings of surrogate family names.
+SYLLABLES = {"latin": "bar cor del fen gar hol kel lam mor nor pel quin ros sel tam vor".split(), "cyrillic": "бор вал гор дан зар кол лив мор нов пет рад сам тих фед чер яр".split()}
+ENDINGS = {("f", "latin"): "son", ("m", "latin"): "son", ("f", "cyrillic"): "ова", ("m", "cyrillic"): "ов"}
+
+_NAMES = "|".join(n for names in GIVEN.values() for n in names)
+NAME = rf"(?<!\p{{L}})(?:{_NAMES})\s+\p{{Lu}}\p{{Ll}}+(?!\p{{L}})"
+#: What counts as an entity, in order of preference.
+PATTERNS = [
+    r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
+    r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Z])",
+    r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9_\-./+]{6,}",
+    r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
+    r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
+    r"(?<![\p{L}\p{N}])\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){2,4}(?!\d)",
+    r"(?<!\d)\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)",
+    r"(?<!\d)\d{3}[ .\-]\d{3}[ .\-]\d{4}(?!\d)",
+    r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
+    r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
+    r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    NAME,
+]
+ENTITY = "|".join(PATTERNS)
+#: A text without any of these has no entity: all but names have a digit or an at sign, or follow one of these words.
+HINT = r"[0-9@]|(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]|" + NAME
+
+#: Tries after which a kind of entity is taken to have no free surrogate left.
+ATTEMPTS = 200
+
+_DIGITS = ("phone", "card", "ssn")
+
+
+def entity_kind(mention: Column) -> Column:
+    kinds = [
+        ("email", mention.contains("@")),
+        ("key", mention.rlike(r"^(?:AKIA|ASIA)[0-9A-Z]{16}$")),
+        ("ip", mention.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$")),
+        ("ssn", mention.rlike(r"^\d{3}-\d{2}-\d{4}$")),
+        ("phone", mention.rlike(r"^[+(]|^\d{3}[ .\-]\d{3}[ .\-]\d{4}$")),
+        ("card", mention.rlike(r"^\d(?:[ \-]?\d){12,18}$")),
+        ("iban", mention.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$")),
+        ("name", mention.rlike(r"^\p{L}+\s+\p{Lu}\p{Ll}+$")),
+    ]
+    out = F.lit(None).cast("string")
+    for kind, test in reversed(kinds):
+        out = F.when(test, F.lit(kind)).otherwise(F.coalesce(out, F.lit("secret")))
+    return out
+
+
+def canonical(kind: Column, mention: Column) -> Column:
+    """What mentions of one entity have in common, whatever their punctuation or case."""
+    return (
+        F.when(kind.isin(*_DIGITS), F.regexp_replace(mention, r"\D", ""))
+        .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
+        .when(kind == "email", F.lower(mention))
+        .when(kind == "name", F.lower(F.regexp_replace(mention, r"\s+", " ")))
+        .otherwise(mention)
+    )
+
+
+def _characters(value: Column) -> Column:
+    return F.when(F.length(value) > 0, F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.substring(value, i, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+
+
+def _byte(stream: Column, at: Column) -> Column:
+    return F.conv(F.substring(stream, at % 128 * 2 + 1, F.lit(2)), 16, 10).cast("int")
+
+
+def _letter(alphabet: str, number: Column) -> Column:
+    return F.substring(F.lit(alphabet), number % len(alphabet) + 1, F.lit(1))
+
+
+def _shaped(value: Column, stream: Column, hexadecimal: Column, kept_from: Column) -> Column:
+    """Every digit and letter replaced by another of its class and script; from ``kept_from`` on nothing."""
+
+    def swap(c: Column, i: Column) -> Column:
+        n = _byte(stream, i)
+        return (
+            F.when(i >= kept_from, c)
+            .when(hexadecimal & c.rlike("[0-9a-f]"), _letter("0123456789abcdef", n))
+            .when(hexadecimal & c.rlike("[0-9A-F]"), _letter("0123456789ABCDEF", n))
+            .when(c.rlike("[0-9]"), _letter("0123456789", n))
+            .when(c.rlike("[а-яё]"), _letter("абвгдежзиклмнопрстуфхцчшэюя", n))
+            .when(c.rlike("[А-ЯЁ]"), _letter("АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", n))
+            .when(c.rlike(r"\p{Lu}"), _letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
+            .when(c.rlike(r"\p{L}"), _letter("abcdefghijklmnopqrstuvwxyz", n))
+            .otherwise(c)
+        )
+
+    return F.array_join(F.transform(_characters(value), swap), "")
+
+
+def _luhn(digits: Column) -> Column:
+    """Luhn sum of all digits; a number is valid if it is a multiple of ten."""
+    doubled = F.transform(
+        _characters(F.reverse(digits)),
+        lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise(c.cast("int") * 2 - F.when(c.cast("int") > 4, 9).otherwise(0)),
+    )
+    return F.aggregate(doubled, F.lit(0), lambda a, b: a + b) % 10
+
+
+def _name(value: Column, stream: Column, attempt: Column) -> Column:
+    given = F.substring_index(value, " ", 1)
+    out = F.lit(None).cast("string")
+    for (gender, script), names in GIVEN.items():
+        own = [n.lower() for n in names]
+        first = F.element_at(F.array(*map(F.lit, own)), _byte(stream, F.lit(0)) % len(own) + 1)
+        syllables = F.array(*map(F.lit, SYLLABLES[script]))
+        # more tries, longer names: there is always a free one
+        parts = F.transform(F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / 4).cast("int")), lambda i: F.element_at(syllables, _byte(stream, i) % len(SYLLABLES[script]) + 1))
+        family = F.concat(F.array_join(parts, ""), F.lit(ENDINGS[gender, script]))
+        out = F.when(given.isin(own), F.concat(first, F.lit(" "), family)).otherwise(out)
+    return out
+
+
+def candidate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
+    """A replacement of the entity's kind and format, drawn by the key."""
+    stream = F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string"), F.lit(str(i))), 256) for i in range(4)])
+    no, never = F.lit(False), F.lit(1 << 30)
+    top_domain = F.length(value) - F.length(F.substring_index(value, ".", -1))
+    octets = [(_byte(stream, F.lit(0)) % 223 + 1), _byte(stream, F.lit(1)), _byte(stream, F.lit(2)), _byte(stream, F.lit(3)) % 254 + 1]
+    number = F.concat(F.substring(value, 1, 1), _shaped(F.substring(value, 2, 1000), stream, no, never))
+    body = F.substring(number, F.lit(1), F.length(number) - 1)
+    check = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
+    coded = F.concat(F.substring(value, 1, 4), _shaped(F.substring(value, 5, 1000), stream, no, never))
+    return (
+        F.when(kind == "email", _shaped(value, stream, no, top_domain))
+        .when(kind == "ip", F.concat_ws(".", *octets))
+        .when(kind == "card", F.when(_luhn(value) == 0, F.concat(body, check)).otherwise(number))
+        .when((kind == "phone") & (F.length(value) > 10), number)
+        .when(kind.isin("iban", "key"), coded)
+        .when(kind == "name", _name(value, stream, attempt))
+        .otherwise(_shaped(value, stream, (kind == "secret") & value.rlike("^(?:(?=.*[a-f])[0-9a-f]+|(?=.*[A-F])[0-9A-F]+)$"), never))
+    )
+
+
+def rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
+    """The surrogate in the punctuation and case of one mention."""
+    slot = F.when(kind == "iban", "[0-9A-Z]").otherwise("[0-9]")
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("used"))
+    filled = F.aggregate(
+        _characters(mention),
+        start,
+        lambda s, c: F.when(
+            F.regexp_like(c, slot), F.struct(F.concat(s["out"], F.substring(surrogate, s["used"] + 1, F.lit(1))).alias("out"), (s["used"] + 1).alias("used"))
+        ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["used"].alias("used"))),
+        lambda s: s["out"],
+    )
+    spaced = F.concat(
+        F.initcap(F.substring_index(surrogate, " ", 1)), F.regexp_extract(mention, r"\s+", 0), F.initcap(F.substring_index(surrogate, " ", -1))
+    )
+    return (
+        F.when(kind.isin(*_DIGITS, "iban"), filled)
+        .when(kind == "name", spaced)
+        .when((kind == "email") & (mention == F.upper(mention)), F.upper(surrogate))
+        .otherwise(surrogate)
+    )
+
+
+def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """``kind, value, surrogate`` of distinct ``kind, value`` rows.
+
+    No surrogate equals an entity of the corpus or another one's surrogate. Of entities that draw the
+    same candidate the first by value keeps it, the others draw again.
+    """
+    entities = stage(entities.distinct(), "pii-entities")
+    real = entities.select("kind", F.col("value").alias("surrogate"))
+    waiting, done = entities.withColumn("attempt", F.lit(0)), None
+    for attempt in range(ATTEMPTS):
+        drawn = waiting.withColumn("surrogate", candidate(key, F.col("kind"), F.col("value"), F.col("attempt")))
+        free = drawn.join(real, ["kind", "surrogate"], "left_anti")
+        if done is not None:
+            free = free.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
+        first = free.groupBy("kind", "surrogate").agg(F.min("value").alias("value")).select("kind", "value", "surrogate")
+        done = stage(first if done is None else done.unionByName(first), "pii-surrogates")
+        waiting = entities.join(done, ["kind", "value"], "left_anti").withColumn("attempt", F.lit(attempt + 1))
+        if waiting.isEmpty():
+            return done
+    raise RuntimeError(f"no free surrogates after {ATTEMPTS} tries")
+
+
+def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """The documents with every entity in ``text`` replaced, and ``n_entities, entity_kinds`` added.
+
+    Mentions of one entity get one surrogate in all documents, in the punctuation and case of each
+    mention; different entities get different ones. Surrogates depend on ``key`` and on which entities
+    the corpus has, so reruns agree. A NULL or empty text and texts without entities stay as they are.
+    Repeated rows are replaced alike; an empty table gives no rows. Columns of ``docs`` named like the
+    added ones are overwritten, all others are kept.
+
+    Only documents with entities are shuffled, by a digest of their text; equal texts share one map.
+    """
+    columns = [c for c in docs.columns if c not in ("n_entities", "entity_kinds")]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    content = F.col("row").getField(text)
+    mentions = F.when(content.rlike(HINT), F.regexp_extract_all(content, F.lit(ENTITY), F.lit(0)))
+    packed = packed.withColumn("mentions", mentions)
+    has = F.coalesce(F.size("mentions") > 0, F.lit(False))
+    found = stage(packed.where(has).withColumn("digest", F.md5(content.cast("binary"))), "pii-documents")
+    said = found.select("digest", F.explode("mentions").alias("mention")).distinct()
+    said = said.withColumn("kind", entity_kind(F.col("mention"))).withColumn("value", canonical(F.col("kind"), F.col("mention")))
+    surrogates = assign_surrogates(said.select("kind", "value"), key)
+    named = said.join(surrogates, ["kind", "value"]).withColumn("shown", rendered(F.col("kind"), F.col("mention"), F.col("surrogate")))
+    maps = named.groupBy("digest").agg(
+        F.map_from_entries(F.collect_list(F.struct("mention", "shown"))).alias("shown"), F.array_sort(F.collect_set("kind")).alias("kinds")
+    )
+    joined = found.join(maps, "digest")
+    between = F.split(content, ENTITY, -1)
+    pieces = F.zip_with(between, "mentions", lambda p, m: F.concat(p, F.coalesce(F.element_at(F.col("shown"), m), F.lit(""))))
+    replaced = F.array_join(pieces, "")
+    others = packed.where(~has)
+    return others.select("row.*", F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("entity_kinds")).unionByName(
+        joined.select(
+            *[replaced.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns], F.size("mentions").alias("n_entities"), F.col("kinds").alias("entity_kinds")
+        )
+    )
