@@ -3,16 +3,66 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from flowsift.llm.catalog import SURROGATE_KEY, mixing_quality
+from flowsift.llm.decontaminate import find_contamination, hit_words, is_contaminated
+from flowsift.llm.jaccard import one_per_group
+from flowsift.llm.language import UNKNOWN, fit_languages, identify
+from flowsift.llm.mixing import mix_sources
+from flowsift.llm.pii import replace_entities
+from flowsift.llm.words import spaced_count
 from flowsift.session import stage as written
 
-STAGES: list = []
+#: A document whose language is less certain than this goes.
+LANGUAGE_SCORE = 0.5
 
-#: Model-based and keyed text changes cannot be written in SQL; tests compare with brute force.
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones have, found with some certainty."""
+    found = identify(docs, fit_languages(docs), keep=docs.columns)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of smallest id."""
+    return one_per_group(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(~is_contaminated(hit_words(), F.col("n_words"))).select(*docs.columns)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates in place of personal data and secrets."""
+    replaced = replace_entities(docs, SURROGATE_KEY)
+    if "n_chars" in docs.columns:
+        replaced = replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return replaced.select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words that each document gives to the mix of sources."""
+    size = spaced_count(F.col("text"))
+    return mix_sources(docs, size, mixing_quality(F.col("text"), size))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontaminated", decontaminated),
+    ("private", private),
+    ("mixed", mixed),
+]
+
+#: Fitted and keyed stages cannot be written in SQL; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = written(step(spark, docs, sf_dir), f"pipeline-{name}")

@@ -19,7 +19,7 @@ FLUSH_BYTES = 8 << 20
 #: Of a band's segments, one in so many also offers its one-deletion neighbourhood.
 DELETION_SHARE = 16
 #: Bands of at most so many segments index empty segments too, so that none is ever missing.
-SMALL_BAND = 64
+SMALL_BAND = 128
 #: Bits of the filter that keeps texts without candidates out of verification.
 FILTER_BITS = 1 << 23
 
@@ -33,8 +33,14 @@ class Bands:
     """
 
     def __init__(self, num: int, den: int) -> None:
+        if not num <= den <= 2 * num:
+            raise ValueError("similarity must lie between a half and 1")
         self.num, self.den = num, den
 
+    def fills(self, segments: np.ndarray) -> np.ndarray:
+        """Where empty segments are indexed too: without them few or low thresholds may lack credits."""
+        return (segments <= SMALL_BAND) | (10 * self.num < 7 * self.den)
+
     def largest(self, band: np.ndarray) -> np.ndarray:
         return (np.int64(2) << band) - 1
 
@@ -84,7 +90,7 @@ class Signatures:
         of_place = np.repeat(np.arange(len(chosen)), m)
         number = np.arange(base[-1]) - base[of_place]
         salt = mix(number.astype(np.uint64) + (band[of_place].astype(np.uint64) << np.uint64(48)) + np.uint64(1))
-        used = np.flatnonzero((members > 0) | (m[of_place] <= SMALL_BAND))
+        used = np.flatnonzero((members > 0) | bands.fills(m)[of_place])
         designated = number < slots[of_place]
         self.used = np.bincount(of_place[used], minlength=len(chosen))
         self.upgrades = np.bincount(of_place[designated & (members > 1)], minlength=len(chosen))
@@ -102,11 +108,11 @@ def _set_key(members: np.ndarray) -> int:
     return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
-_SETS = "doc_id bigint, set_key bigint, n_shingles bigint, used_0 int, up_0 int, used_1 int, up_1 int"
+_SETS = "doc_id bigint, text_hash bigint, set_key bigint, n_shingles bigint, used_0 int, up_0 int, used_1 int, up_1 int"
 
 
 def describe_sets(docs: DataFrame, bands: Bands, shingle: int) -> DataFrame:
-    """Per row the name and size of its set, and what its segments can offer in either role."""
+    """Per row the hash of its text, the name and size of its set, and what its segments can offer in either role."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,9 +125,9 @@ def describe_sets(docs: DataFrame, bands: Bands, shingle: int) -> DataFrame:
                     found = Signatures(bands, sets, chosen, band)
                     offers[2 * role, chosen], offers[2 * role + 1, chosen] = found.used, found.upgrades
                 keys = pa.array([_set_key(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), keys, pa.array(sizes), *map(pa.array, offers)], [c.split()[0] for c in _SETS.split(", ")])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), keys, pa.array(sizes), *map(pa.array, offers)], [c.split()[0] for c in _SETS.split(", ")])
 
-    return docs.mapInArrow(run, _SETS)
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, _SETS)
 
 
 _PACKED = "bucket int, final boolean, low binary, set_key binary, role binary, slot binary, deleted binary"
@@ -332,6 +338,18 @@ def link_sets(docs: DataFrame, sets: DataFrame, bands: Bands, shingle: int, buck
     return stage(links.union(_verify(second, members, bands)), "jaccard-links")
 
 
+def _grouped(docs: DataFrame, num: int, den: int, shingle: int, doc_id: str, text: str) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component``; the component is a set name, NULL without words."""
+    bands = Bands(num, den)
+    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = slim.agg(F.sum(F.octet_length("text")).alias("n")).head().n or 0
+    described = stage(describe_sets(slim, bands, shingle), "jaccard-described")
+    facts = ("n_shingles", "used_0", "up_0", "used_1", "up_1")
+    sets = described.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), *[F.max(c).alias(c) for c in facts])
+    links = link_sets(slim, stage(sets, "jaccard-sets"), bands, shingle, max(1, -(-size // BUCKET_BYTES)))
+    return _labelled(described.select("doc_id", "text_hash", "n_shingles", "set_key"), components(links)).drop("set_key")
+
+
 def join_similar(docs: DataFrame, num: int = 3, den: int = 4, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``: documents linked by a Jaccard similarity of ``num / den`` or more.
 
@@ -342,14 +360,23 @@ def join_similar(docs: DataFrame, num: int = 3, den: int = 4, shingle: int = 5,
     unless it has no other. Rows that repeat an id are documents of their own. An empty table gives
     no rows; other columns are not read.
     """
-    bands = Bands(num, den)
-    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = slim.agg(F.sum(F.octet_length("text")).alias("n")).head().n or 0
-    described = stage(describe_sets(slim, bands, shingle), "jaccard-described")
-    facts = ("n_shingles", "used_0", "up_0", "used_1", "up_1")
-    sets = described.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), *[F.max(c).alias(c) for c in facts])
-    links = link_sets(slim, stage(sets, "jaccard-sets"), bands, shingle, max(1, -(-size // BUCKET_BYTES)))
-    labels = components(links)
-    named = described.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    named = _grouped(docs, num, den, shingle, doc_id, text)
     smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     return named.join(smallest, "component", "left").select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, num: int = 3, den: int = 4, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of every linked group, all columns as they are: that of smallest id, NULL last.
+
+    Documents without words are in no group and stay, but rows that repeat both id and text become one.
+    """
+    named = _grouped(docs, num, den, shingle, doc_id, text)
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    chosen = named.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_hash")
+    chosen = chosen.union(named.where("component IS NULL").select("doc_id", "text_hash")).distinct().toDF("kept_id", "kept_hash")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    row_id, row_hash = F.col("row").getField(doc_id).cast("bigint"), F.xxhash64(F.coalesce(F.col("row").getField(text), F.lit("")))
+    kept = packed.select("row", row_id.alias("row_id"), row_hash.alias("row_hash")).join(
+        chosen, F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash"))
+    )
+    return kept.groupBy("row_id", "row_hash").agg(F.first("row").alias("row")).select("row.*")
