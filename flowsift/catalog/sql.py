@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from flowsift.schema import CLASS_SIGNAL, SIGNAL_FEATURES
-from flowsift.sources.views import COMMANDS, FLOW_COLS, FLOW_KEYS, RAW_LABELS, SIGNAL_COLS
+from flowsift.schema import LABELS
+from flowsift.sources.views import COMMANDS, FLOW_COLS, FLOW_KEYS, RAW_LABELS, SIGNAL_COLS, class_factor
 
 
 def text(value: object) -> str:
@@ -32,10 +32,6 @@ def finite(c: str) -> str:
     return f"CASE WHEN isfinite({c}) THEN {c} END"
 
 
-def rounded(cols: Sequence[str], digits: int) -> str:
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
-
-
 def _choice(values: Sequence[str], index: str) -> str:
     return f"([{', '.join(values)}])[({index}) + 1]"
 
@@ -46,8 +42,8 @@ _raw = "CASE " + " ".join(
 ) + " END"
 
 _profile = ", ".join(
-    f"({text(cls)}, " + ", ".join(f"{factors[SIGNAL_FEATURES.index(f)]}::DOUBLE" for f in SIGNAL_COLS.values()) + ")"
-    for cls, factors in CLASS_SIGNAL.items()
+    f"({text(cls)}, " + ", ".join(f"{class_factor(cls, c)}::DOUBLE" for c in SIGNAL_COLS) + ")"
+    for cls in LABELS
 )
 
 _command_list = [text(c) for c, _ in COMMANDS]
@@ -80,7 +76,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "flows_dup": (("flows",), "SELECT * FROM flows UNION ALL SELECT * FROM flows WHERE discount = 0"),
     "raw_labels": (("flows",), f"SELECT *, {_raw} AS raw_label FROM flows"),
-    "profile": ((), f"SELECT * FROM (VALUES {_profile}) AS t(class, {commas(list(SIGNAL_COLS))})"),
+    "profile": ((), f"SELECT * FROM (VALUES {_profile}) AS t(class, {commas(SIGNAL_COLS)})"),
     "payloads": (
         (),
         f"""

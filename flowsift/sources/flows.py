@@ -117,7 +117,3 @@ def read_split(
     if columns is None:
         return df
     return df.select(*[F.col(quoted(c)) for c in columns])
-
-
-def flow_targets() -> list[str]:
-    return [LABEL, IS_ATTACK]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsift.functions.labels import binary_target
-from flowsift.schema import CLASS_SIGNAL, SIGNAL_FEATURES, event_schema
+from flowsift.schema import BENIGN, LABELS, event_schema
 
 FLOW_KEYS = ["k_order", "k_part", "k_supp", "k_line", "k_cents"]
 FLOW_COLS = [
@@ -22,15 +22,8 @@ FLOW_COLS = [
     "byte_rate",
     "packet_rate",
 ]
-# View column -> signal feature whose class factors it takes.
-SIGNAL_COLS = {
-    "duration": "Flow Duration",
-    "bytes": "Total Fwd Packets",
-    "byte_rate": "Flow Bytes/s",
-    "supplier": "SYN Flag Count",
-    "port": "Destination Port",
-    "total_price": "Packet Length Mean",
-}
+# Columns that the class profile scales.
+SIGNAL_COLS = ["duration", "bytes", "byte_rate", "supplier", "port", "total_price"]
 
 # Granular label spellings per class, chosen by supplier.
 RAW_LABELS = [
@@ -129,12 +122,16 @@ def raw_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.withColumn("raw_label", raw)
 
 
+def class_factor(cls: str, column: str) -> float:
+    """Factor of the view's profile: 1 for benign flows, quarters from 0.5 to 2.25 for the others, by position."""
+    if cls == BENIGN:
+        return 1.0
+    return 0.5 + 0.25 * ((3 * LABELS.index(cls) + 5 * SIGNAL_COLS.index(column)) % 8)
+
+
 def class_profile(spark: SparkSession) -> DataFrame:
     """(class, feature, factor) for the view's signal columns."""
-    position = {f: i for i, f in enumerate(SIGNAL_FEATURES)}
-    rows = [
-        (cls, c, factors[position[f]]) for cls, factors in CLASS_SIGNAL.items() for c, f in SIGNAL_COLS.items()
-    ]
+    rows = [(cls, c, class_factor(cls, c)) for cls in LABELS for c in SIGNAL_COLS]
     return spark.createDataFrame(rows, "class string, feature string, factor double")
 
 
