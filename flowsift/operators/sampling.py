@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.functions.draws import draw_key, index_draw, unit_draw
-from flowsift.operators.joins import attach, salted_join
+from flowsift.operators.joins import attach
 from flowsift.operators.ranking import key_cuts, ranked, solid_strata
 from flowsift.schema import BENIGN, quoted
 
@@ -71,11 +71,6 @@ def kfold(df: DataFrame, label: str, keys: Sequence[str], k: int, seed: int) ->
     )
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Random rows with replacement, ``fraction`` of the table on average."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
-
-
 def draw_rows(df: DataFrame, keys: Sequence[str], draws: int, seed: int) -> DataFrame:
     """Exactly ``draws`` rows drawn with replacement; a row drawn twice appears twice.
 
@@ -192,25 +187,33 @@ def pair_payloads(
 ) -> DataFrame:
     """Give each flow a payload row: malicious with probability ``p_attack`` or ``p_benign``.
 
-    The pools are numbered densely; a flow draws (pool, number), which spreads the join evenly over
-    the pool. A pool too small to spread its flows over many keys is joined on (key, salt).
-    Payloads have no length bound, so they are never broadcast.
+    The pools are the texts labelled 1 and 0; other labels are in neither. Their rows are numbered
+    densely and a flow draws (pool, number, copy), which spreads the join evenly: a pool of few rows is
+    copied so often that there are ``SPREAD_KEYS`` keys. Payloads have no length bound, so they are
+    never broadcast. A pool that flows may draw from must have rows.
     """
     pool = F.col(text_label).cast("int")
+    usable = texts.where(pool.isin(0, 1))
+    sizes = usable.agg(F.count_if(pool == 0), F.count_if(pool == 1)).head()
+    drawable = (min(p_attack, p_benign) < 1, max(p_attack, p_benign) > 0)
+    empty = [i for i in (0, 1) if drawable[i] and not sizes[i]]
+    if empty:
+        raise ValueError(f"no payload is labelled {empty[0]}")
+    copies = [-(-SPREAD_KEYS // n) if n else 1 for n in sizes]
+
+    def by_pool(column: Column, values: Sequence[int]) -> Column:
+        return F.when(column == 1, F.lit(values[1])).otherwise(F.lit(values[0]))
+
     numbered = ranked(
-        texts.withColumn("__pool", pool).withColumn("__tkey", draw_key(text_keys, seed, "pool")),
+        usable.withColumn("__pool", pool).withColumn("__tkey", draw_key(text_keys, seed, "pool")),
         ["__pool"],
         "__tkey",
         "__number",
     ).drop("__tkey")
-    sizes = {r["__pool"]: r["n"] for r in texts.groupBy(pool.alias("__pool")).agg(F.count(F.lit(1)).alias("n")).limit(2).collect()}
+    numbered = numbered.withColumn("__copy", F.explode(F.sequence(F.lit(0), by_pool(F.col("__pool"), copies) - 1)))
     p = F.when(F.col(attack) == 1, F.lit(p_attack)).otherwise(F.lit(p_benign))
     drawn = flows.withColumn("__pool", (unit_draw(flow_keys, seed, "pool") < p).cast("int"))
-    size = F.when(F.col("__pool") == 1, F.lit(sizes.get(1, 0))).otherwise(F.lit(sizes.get(0, 0)))
-    drawn = drawn.withColumn("__number", index_draw(flow_keys, size, seed, "number") + 1)
-    on = ["__pool", "__number"]
-    if min((sizes.get(p, 0) for p in (0, 1)), default=0) < SPREAD_KEYS:
-        joined = salted_join(drawn, numbered, on, how="left")
-    else:
-        joined = drawn.join(numbered, on, "left")
-    return joined.drop(*on)
+    drawn = drawn.withColumn("__number", index_draw(flow_keys, by_pool(F.col("__pool"), sizes), seed, "number") + 1)
+    drawn = drawn.withColumn("__copy", index_draw(flow_keys, by_pool(F.col("__pool"), copies), seed, "copy").cast("int"))
+    on = ["__pool", "__number", "__copy"]
+    return drawn.join(numbered, on, "left").drop(*on)

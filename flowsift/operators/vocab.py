@@ -69,7 +69,7 @@ def encode_tokens(
 
     Encoding keeps the first ``max_len`` tokens by definition. A small vocabulary becomes a literal
     map and the encoding a projection. A larger one is joined token by token; a text contributes at
-    most ``max_len`` rows to its group.
+    most ``max_len`` rows to its group. Either way rows that repeat a key stay rows of their own.
     """
     keys = list(keys)
     head = F.slice(tokens(F.col(text), level, lowercase), 1, max_len)
@@ -82,12 +82,13 @@ def encode_tokens(
         else:
             coded = F.transform(head, lambda t: F.lit(UNKNOWN_ID))
         return df.select(*keys, F.slice(F.concat(coded, padding), 1, max_len).alias("ids"))
-    placed = df.select(*keys, F.posexplode_outer(head).alias("__pos", "__token"))
+    rows = df.select(*keys, head.alias("__head")).withColumn("__row", F.monotonically_increasing_id())
+    placed = rows.select(*keys, "__row", F.posexplode_outer("__head").alias("__pos", "__token"))
     dim = vocab.select(F.col("token").alias("__token"), F.col("id").alias("__id"))
     pair = F.struct("__pos", F.coalesce("__id", F.lit(UNKNOWN_ID)).alias("__id"))
     coded = (
         attach(placed, dim, ["__token"], how="left")
-        .groupBy(*keys)
+        .groupBy(*keys, "__row")
         .agg(F.array_sort(F.collect_list(F.when(F.col("__pos").isNotNull(), pair))).alias("__pairs"))
     )
     return coded.select(*keys, F.slice(F.concat(F.col("__pairs.__id"), padding), 1, max_len).alias("ids"))

@@ -77,11 +77,6 @@ def test_draw_rows_exact_count(skewed):
     assert drawn.select("id").distinct().count() < 1234
 
 
-def test_sample_rows_repeats_some(skewed):
-    drawn = sampling.sample_rows(skewed, 0.5, 5)
-    assert 2000 < drawn.count() < 3000
-
-
 def test_mix_quotas():
     quotas = sampling.mix_quotas({"a": 0.35, "b": 0.25, "c": 0.2, "d": 0.2}, 101)
     assert sum(quotas.values()) == 101 and quotas == {"a": 36, "b": 25, "c": 20, "d": 20}
@@ -126,6 +121,18 @@ def test_pairing_follows_label(spark):
     assert out.select("t").distinct().count() == 30
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_pools_leave_out_other_labels(spark, partitions):
+    flows = spark.range(500).withColumn("attack", (F.col("id") % 2).cast("int"))
+    labels = [0] * 5 + [1] * 3 + [2, None] * 20
+    texts = spark.createDataFrame([(f"t{i}", m) for i, m in enumerate(labels)], "t string, mal int").repartition(partitions)
+    out = sampling.pair_payloads(flows, ["id"], "attack", texts, ["t"], "mal", 0.5, 0.5, 1)
+    assert out.count() == 500 and out.where("t IS NULL OR mal NOT IN (0, 1)").count() == 0
+    assert out.select("t").distinct().count() == 8
+    with pytest.raises(ValueError, match="labelled 1"):
+        sampling.pair_payloads(flows, ["id"], "attack", texts.where("mal = 0"), ["t"], "mal", 0.5, 0.5, 1)
+
+
 def test_unit_draw_range(spark):
     row = spark.range(2000).select(unit_draw(["id"], 1).alias("u")).agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 <= row[0] and row[1] < 1 and abs(row[2] - 0.5) < 0.03
