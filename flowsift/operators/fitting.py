@@ -17,125 +17,99 @@ from flowsift.functions.numeric import finite
 from flowsift.operators.columns import reindex
 from flowsift.operators.joins import attach
 from flowsift.schema import quoted
+from flowsift.session import stage
+
+# Ranges per octave of the first count, and equal parts of a range that is still too full.
+OCTAVE_RANGES = 256
+PARTS = 4096
+# Distinct values of one range that one task puts in order.
+ORDERED_VALUES = 1_000_000
+
+
+def _range_number(value: Column) -> Column:
+    """Number of the range a value lies in; rises with the value, symmetric about zero."""
+    size = F.abs(value)
+    octave = F.floor(F.log2(size))
+    inside = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * OCTAVE_RANGES)
+    number = (octave + 1100) * OCTAVE_RANGES + inside + 1
+    number = F.when(size == 0, 0).when(size == math.inf, 1 << 30).otherwise(number)
+    return F.when(value < 0, -number).otherwise(number).cast("bigint")
+
+
+def _ranks(wanted: Mapping[tuple[int, int], float]) -> dict[int, set[int]]:
+    """Ranks, from 1, that the positions of each column lie between."""
+    out: dict[int, set[int]] = {}
+    for (i, _), position in wanted.items():
+        out.setdefault(i, set()).update((math.floor(position) + 1, math.ceil(position) + 1))
+    return out
+
 
-# The one-pass way buffers every distinct value of every column in one task: rows * columns up to
-# this bound stay below about a gigabyte.
-ONE_PASS_CELLS = 8_000_000
-# Sketch size grows with the table between these bounds, which bounds buffers and brackets.
-ACCURACY = (10_000, 100_000)
+def _holding(counts: DataFrame, ranks: Mapping[int, set[int]], by: str, given: Mapping[int, int] | None = None) -> DataFrame:
+    """Rows of ``n, by, rows`` that hold a wanted rank of their ``n``, with the rows before them."""
+    order = Window.partitionBy("n").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offset = F.lit(0)
+    for n, rows in (given or {}).items():
+        offset = F.when(F.col("n") == n, F.lit(rows)).otherwise(offset)
+    run = counts.withColumn("upto", offset + F.sum("rows").over(order)).withColumn("before", F.col("upto") - F.col("rows"))
+    some = F.lit(False)
+    for n, at in ranks.items():
+        for rank in at:
+            some = some | ((F.col("n") == n) & (F.col("before") < rank) & (F.col("upto") >= rank))
+    return run.where(some)
 
 
 def column_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    one_pass_cells: int = ONE_PASS_CELLS,
-    accuracy: int | None = None,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], ordered_values: int = ORDERED_VALUES
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles (linear interpolation) of several columns; missing values are ignored.
+    """Exact quantiles (linear interpolation) of several columns; NULL and NaN are ignored.
 
-    A counted small frame uses the built-in exact percentile, which keeps every distinct value in
-    one buffer. A larger one takes two passes: approximate quantiles bracket each wanted rank, then
-    only the values inside the brackets are counted and ordered.
+    The first pass counts values per range, 256 to every power of two and sign, inside the tasks
+    before the shuffle. The second counts the distinct values of the ranges that hold a wanted rank. A
+    range of more distinct values than one task should order is counted again in equal parts, until
+    its part is small. Every table takes this way.
     """
     cols, probs = list(cols), [float(p) for p in probs]
-    total = df.count()
-    if total * len(cols) <= one_pass_cells:
-        probabilities = F.array(*[F.lit(p) for p in probs])
-        row = df.agg(
-            *[F.percentile(F.col(quoted(c)), probabilities).alias(f"q{i}") for i, c in enumerate(cols)]
-        ).first()
-        return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(cols)}
-    if accuracy is None:
-        accuracy = min(max(total // 10_000, ACCURACY[0]), ACCURACY[1])
-    found: dict[tuple[int, int], float | None] = {}
-    pending = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
-    margin = 4.0 / accuracy
-    while pending:
-        # A bracket that missed its rank is widened, up to the whole column.
-        found.update(_bracketed_quantiles(df, cols, probs, pending, margin, accuracy))
-        pending = [k for k in pending if k not in found]
-        margin *= 16
-    return {c: [found[i, j] for j in range(len(probs))] for i, c in enumerate(cols)}
-
-
-def _bracketed_quantiles(
-    df: DataFrame,
-    cols: list[str],
-    probs: list[float],
-    pending: list[tuple[int, int]],
-    margin: float,
-    accuracy: int,
-) -> dict[tuple[int, int], float | None]:
-    """Quantiles whose rank lies within ``margin`` of the approximate one; None without values."""
-    edges = sorted({min(max(probs[j] + d, 0.0), 1.0) for _, j in pending for d in (-margin, margin)})
-    needed = sorted({i for i, _ in pending})
-    row = df.agg(
-        *[F.count(F.col(quoted(cols[i]))).alias(f"n{i}") for i in needed],
-        *[F.percentile_approx(F.col(quoted(cols[i])), edges, accuracy).alias(f"e{i}") for i in needed],
-    ).first()
-    wanted: dict[tuple[int, int], tuple[float, float, int, int, float]] = {}
-    found: dict[tuple[int, int], float | None] = {}
-    for i, j in pending:
-        count, cuts, p = row[f"n{i}"], row[f"e{i}"], probs[j]
-        if not count:
-            found[i, j] = None
-            continue
-        low = cuts[edges.index(p - margin)] if p - margin > 0 else -math.inf
-        high = cuts[edges.index(p + margin)] if p + margin < 1 else math.inf
-        position = p * (count - 1)
-        first = math.floor(position)
-        wanted[i, j] = (low, high, first + 1, math.ceil(position) + 1, position - first)
-    if wanted:
-        found.update(_ranked_values(df, cols, wanted))
-    return found
-
-
-def _ranked_values(
-    df: DataFrame,
-    cols: list[str],
-    wanted: Mapping[tuple[int, int], tuple[float, float, int, int, float]],
-) -> dict[tuple[int, int], float]:
-    """Interpolated values at the wanted ranks; a rank outside its bracket is left out.
-
-    Values below a bracket are only counted. Equal values inside it are counted before the shuffle.
-    """
-    keys = list(wanted)
-    below = df.agg(
-        *[
-            F.count_if(F.col(quoted(cols[k[0]])) < F.lit(wanted[k][0])).alias(f"b{n}")
-            for n, k in enumerate(keys)
-        ]
-    ).first()
-    parts = []
-    for n, k in enumerate(keys):
-        v = F.col(quoted(cols[k[0]])).cast("double")
-        parts.append(F.when(v.between(*wanted[k][:2]), F.struct(F.lit(n).alias("n"), v.alias("v"))))
-    counts = (
-        df.select(F.explode(F.array_compact(F.array(*parts))).alias("m"))
-        .groupBy("m.n", "m.v")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    order = Window.partitionBy("n").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offset = F.element_at(F.array(*[F.lit(int(b)) for b in below]), F.col("n") + 1)
-    run = counts.withColumn("upto", offset + F.sum("rows").over(order)).withColumn(
-        "before", F.col("upto") - F.col("rows")
-    )
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("before") < rank) & (rank <= F.col("upto")), F.col("v")))
-
-    first = F.element_at(F.array(*[F.lit(wanted[k][2]) for k in keys]), F.col("n") + 1)
-    last = F.element_at(F.array(*[F.lit(wanted[k][3]) for k in keys]), F.col("n") + 1)
-    ranked = run.withColumns({"first": first, "last": last}).groupBy("n")
-    rows = ranked.agg(at(F.col("first")).alias("a"), at(F.col("last")).alias("b")).collect()
-    out = {}
-    for r in rows:
-        key = keys[r["n"]]
-        share = wanted[key][4]
-        if r["a"] is not None and r["b"] is not None:
-            out[key] = r["a"] if r["a"] == r["b"] else (1 - share) * r["a"] + share * r["b"]
-    return out
+    values = [F.col(quoted(c)).cast("double") for c in cols]
+    values = [F.when(~F.isnan(v), v) for v in values]
+    melted = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("n"), v.alias("v")) for i, v in enumerate(values)]))).where("v IS NOT NULL")
+    bounds = [F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")]
+    ranges = stage(melted.groupBy("n", _range_number(F.col("v")).alias("range")).agg(*bounds), "quantile-ranges")
+    totals = {r["n"]: r["rows"] for r in ranges.groupBy("n").agg(F.sum("rows").alias("rows")).collect()}
+    wanted = {(i, j): p * (totals[i] - 1) for i in totals for j, p in enumerate(probs)}
+    ranks = _ranks(wanted)
+    # spots: the column, its rows before the spot and up to its end, the smallest and largest value
+    spots = [(r["n"], r["before"], r["upto"], r["low"], r["high"]) for r in _holding(ranges, ranks, "range").collect()]
+    found: dict[tuple[int, int], float] = {}
+    while spots:
+        inner = {n: {r for r in ranks[s[0]] if s[1] < r <= s[2]} for n, s in enumerate(spots)}
+        before = {n: s[1] for n, s in enumerate(spots)}
+        inside = [F.when(values[s[0]].between(s[3], s[4]), F.struct(F.lit(n).alias("n"), values[s[0]].alias("v"))) for n, s in enumerate(spots)]
+        picked = df.select(F.explode(F.array_compact(F.array(*inside))).alias("m"))
+        counts = stage(picked.groupBy("m.n", "m.v").agg(F.count(F.lit(1)).alias("rows")), "quantile-values")
+        sizes = {r["n"]: r["values"] for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("values")).collect()}
+        small = [n for n in sizes if sizes[n] <= max(ordered_values, 2)]
+        if small:
+            hits = _holding(counts.where(F.col("n").isin(small)), {n: inner[n] for n in small}, "v", before)
+            for r in hits.collect():
+                found.update({(spots[r["n"]][0], rank): r["v"] for rank in inner[r["n"]] if r["before"] < rank <= r["upto"]})
+        full = [n for n in sizes if n not in small]
+        if not full:
+            break
+        low, high = (F.element_at(F.create_map(*[F.lit(x) for n in full for x in (n, spots[n][k])]), F.col("n")) for k in (3, 4))
+        part = F.least(F.floor((F.col("v") / 2 - low / 2) / (high / 2 - low / 2) * PARTS), F.lit(PARTS - 1))
+        parts = counts.where(F.col("n").isin(full)).groupBy("n", part.alias("part")).agg(F.sum("rows").alias("rows"), *bounds[1:])
+        nearer = _holding(parts, {n: inner[n] for n in full}, "part", before).collect()
+        spots = [(spots[r["n"]][0], r["before"], r["upto"], r["low"], r["high"]) for r in nearer]
+
+    def at(i: int, j: int) -> float | None:
+        if i not in totals:
+            return None
+        position = wanted[i, j]
+        first, last = math.floor(position), math.ceil(position)
+        a, b = found[i, first + 1], found[i, last + 1]
+        return a if a == b else (last - position) * a + (position - first) * b
+
+    return {c: [at(i, j) for j in range(len(probs))] for i, c in enumerate(cols)}
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
@@ -156,11 +130,11 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
 
 
 def fit_imputer(
-    df: DataFrame, cols: Sequence[str], strategy: str = "median", one_pass_cells: int = ONE_PASS_CELLS
+    df: DataFrame, cols: Sequence[str], strategy: str = "median"
 ) -> dict[str, float]:
     """Fill value per column; 0 for a column without any value."""
     if strategy == "median":
-        fills = {c: q[0] for c, q in column_quantiles(df, cols, [0.5], one_pass_cells).items()}
+        fills = {c: q[0] for c, q in column_quantiles(df, cols, [0.5]).items()}
     elif strategy == "mean":
         row = df.agg(*[F.avg(F.col(quoted(c))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
         fills = dict(zip(cols, row, strict=True))
@@ -180,7 +154,7 @@ def apply_imputer(df: DataFrame, fills: Mapping[str, float]) -> DataFrame:
 
 
 def fit_scaler(
-    df: DataFrame, cols: Sequence[str], kind: str = "standard", one_pass_cells: int = ONE_PASS_CELLS
+    df: DataFrame, cols: Sequence[str], kind: str = "standard"
 ) -> dict[str, tuple[float, float]]:
     """(center, scale) per column; a scale of zero becomes 1.
 
@@ -195,7 +169,7 @@ def fit_scaler(
         ).first()
         pairs = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
     elif kind == "robust":
-        quartiles = column_quantiles(df, cols, [0.25, 0.5, 0.75], one_pass_cells)
+        quartiles = column_quantiles(df, cols, [0.25, 0.5, 0.75])
         pairs = {c: (q[1], None if q[1] is None else q[2] - q[0]) for c, q in quartiles.items()}
     else:
         raise ValueError(f"unknown scaler: {kind}")
@@ -233,10 +207,10 @@ class Preprocessor:
             *[F.col(quoted(k)) for k in keep], *[finite(F.col(quoted(c))).alias(c) for c in self.features]
         )
 
-    def fit(self, train: DataFrame, one_pass_cells: int = ONE_PASS_CELLS) -> Preprocessor:
+    def fit(self, train: DataFrame) -> Preprocessor:
         clean = self._clean(train, ())
-        fills = fit_imputer(clean, self.features, self.strategy, one_pass_cells)
-        scales = fit_scaler(apply_imputer(clean, fills), self.features, self.scaler, one_pass_cells)
+        fills = fit_imputer(clean, self.features, self.strategy)
+        scales = fit_scaler(apply_imputer(clean, fills), self.features, self.scaler)
         return Preprocessor(self.features, self.strategy, self.scaler, fills, scales)
 
     def transform(self, df: DataFrame, keep: Sequence[str] = (), as_float: bool = True) -> DataFrame:

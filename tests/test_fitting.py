@@ -33,19 +33,28 @@ def numbers(spark):
 COLS = ["a.b", "c", "flat", "empty"]
 
 
-@pytest.mark.parametrize("accuracy", [20, 200, 10000])
-def test_bracketed_quantiles_are_exact(numbers, accuracy):
+@pytest.mark.parametrize("ordered_values", [2, 50, 10**6])
+def test_quantiles_equal_the_built_in_percentile(numbers, ordered_values):
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    one_pass = fitting.column_quantiles(numbers, COLS, probs)
-    two_pass = fitting.column_quantiles(numbers, COLS, probs, one_pass_cells=0, accuracy=accuracy)
-    for c in COLS:
-        for a, b in zip(one_pass[c], two_pass[c], strict=True):
-            assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12, abs=1e-12)
+    got = fitting.column_quantiles(numbers, COLS, probs, ordered_values)
+    want = numbers.agg(*[F.percentile(F.col(f"`{c}`"), F.array(*map(F.lit, probs))) for c in COLS]).head()
+    for c, w in zip(COLS, want, strict=True):
+        assert got[c] == (list(w) if w is not None else [None] * len(probs))
+
+
+def test_quantiles_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(x,) for x in (nan, None, -inf, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.7e308, inf, nan)]
+    df = spark.createDataFrame(rows, "x double").repartition(3)
+    assert fitting.column_quantiles(df, ["x"], [0.0, 0.5, 1.0], 2)["x"] == [-inf, 0.0, inf]
+    only_nan = spark.createDataFrame([(nan,), (None,)], "x double")
+    assert fitting.column_quantiles(only_nan, ["x"], [1.0])["x"] == [None]
+    assert fitting.column_quantiles(df.limit(0), ["x"], [0.5])["x"] == [None]
 
 
 def test_quantiles_equal_numpy(numbers):
     values = [r["c"] for r in numbers.select("c").collect() if r["c"] is not None]
-    got = fitting.column_quantiles(numbers, ["c"], [0.3, 0.5], one_pass_cells=0)["c"]
+    got = fitting.column_quantiles(numbers, ["c"], [0.3, 0.5])["c"]
     assert got == pytest.approx(list(np.quantile(values, [0.3, 0.5])))
 
 
