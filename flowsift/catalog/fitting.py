@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.catalog import query
-from flowsift.catalog.sql import commas, split_of, with_views
+from flowsift.catalog.sql import commas, split_of, text, with_views
 from flowsift.functions.labels import binary_target
 from flowsift.operators import fitting
 from flowsift.operators.clean import inf_to_null
 from flowsift.plans.preprocess import preprocess_flows
+from flowsift.schema import FLOW_FEATURES
 from flowsift.sources import views
-from flowsift.sources.views import FLOW_COLS, FLOW_KEYS
+from flowsift.sources.views import FLOW_COLS, FLOW_KEYS, WIDE_FROM
 
 KEYS = commas(FLOW_KEYS)
 
@@ -116,6 +117,28 @@ def fit_scale_robust(spark: SparkSession, sf: str) -> DataFrame:
     return scaler_table(spark, sf, "robust")
 
 
+def _wide_cell(i: int) -> str:
+    return f"CASE WHEN (k_part + {i}) % 13 <> 0 THEN {WIDE_FROM[i % len(WIDE_FROM)]} * {i % 9 + 1} END"
+
+
+@query(
+    "fit_scale_robust_wide",
+    with_views(
+        " UNION ALL ".join(
+            f"SELECT {text(name)} AS feature, round(median({_wide_cell(i)}), 3) AS center, "
+            f"round(quantile_cont({_wide_cell(i)}, 0.75) - quantile_cont({_wide_cell(i)}, 0.25), 3) AS scale FROM flows"
+            for i, name in enumerate(FLOW_FEATURES)
+        ),
+        "flows",
+    ),
+)
+def fit_scale_robust_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """The robust scaler over the whole feature table."""
+    scaler = fitting.fit_scaler(views.wide_flows(spark, sf), FLOW_FEATURES, "robust")
+    rows = [(c, round(center, 3), round(scale, 3)) for c, (center, scale) in scaler.items()]
+    return spark.createDataFrame(rows, "feature string, center double, scale double")
+
+
 @query("scale_none", with_views(f"SELECT {KEYS}, bytes, byte_rate FROM folded", "folded"))
 def scale_none(spark: SparkSession, sf: str) -> DataFrame:
     df = folded(spark, sf)

@@ -34,3 +34,16 @@ def ratio(num: Column, den: Column, empty: float = 0.0) -> Column:
 
 def logistic(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def range_number(value: Column, per_octave: int = 256) -> Column:
+    """Number of the range a double lies in: ``per_octave`` to every power of two and sign.
+
+    Rises with the value, symmetric about zero, infinities at the ends; NULL for NULL, NaN above all.
+    """
+    size = F.abs(value)
+    octave = F.floor(F.log2(size))
+    inside = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * per_octave)
+    number = (octave + 1100) * per_octave + inside + 1
+    number = F.when(F.isnan(value), 1 << 62).when(size == 0, 0).when(size == INF, 1 << 61).otherwise(number)
+    return F.when(value < 0, -number).otherwise(number).cast("bigint")

@@ -71,17 +71,15 @@ def reindex(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> Da
 
 
 def encode_labels(df: DataFrame, label: str = LABEL, out: str = "class_id") -> DataFrame:
-    """Append the class id; raises a listing of unknown labels."""
-    unknown = (
-        df.where(label_id(F.col(quoted(label))).isNull())
-        .select(quoted(label))
-        .distinct()
-        .orderBy(label)
-        .limit(len(LABELS) * 4)
-        .collect()
-    )
-    if unknown:
-        raise ValueError(f"unknown labels: {sorted(str(r[0]) for r in unknown)}")
+    """Append the class id; raises with the number of unknown labels and the first ones by name.
+
+    ``unknown_labels`` lists them all.
+    """
+    found = unknown_labels(df, label)
+    number = found.count()
+    if number:
+        first = [str(r["unknown_label"]) for r in found.orderBy("unknown_label").take(len(LABELS))]
+        raise ValueError(f"{number} unknown labels, see unknown_labels: {sorted(first)}")
     return df.withColumn(out, label_id(F.col(quoted(label))))
 
 

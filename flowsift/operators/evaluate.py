@@ -8,32 +8,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsift.functions.numeric import ratio, threshold_flag
+from flowsift.functions.numeric import range_number, ratio, threshold_flag
 from flowsift.operators.ranking import solid_strata
 from flowsift.schema import LABELS
 
-BUCKETS = 64
+# Score ranges per power of two, for every so many rows.
+OCTAVE_RANGES, RANGE_ROWS = 256, 1 << 22
 
 
 def pr_curve(
-    df: DataFrame, y: str, score: str, by: Sequence[str] = (), buckets: int = BUCKETS
+    df: DataFrame, y: str, score: str, by: Sequence[str] = (), range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """(by, score, positives, tp, fp, precision, recall) at every distinct score, highest first.
 
-    Rows without a score are left out. Tied scores are merged before the shuffle. The running sums are taken inside score ranges cut
-    at approximate quantiles, and each range adds the totals of the ranges above it, so no task
-    orders all scores.
+    Rows without a score are left out. Tied scores are merged before the shuffle. The running sums
+    are taken inside score ranges of each group, and each range adds the totals of the ranges above
+    it, so no task orders all scores. Ranges get finer as the table grows.
     """
     by = list(by)
     keyed, keys = solid_strata(df.where(F.col(score).isNotNull()), by)
     ties = keyed.groupBy(*by, *keys, F.col(score).alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("positives"), F.count(F.lit(1)).alias("__rows")
     )
-    steps = [(i + 1) / buckets for i in range(buckets - 1)]
-    cuts = ties.agg(F.percentile_approx("score", steps, 1000).alias("cuts")).first()["cuts"] or []
-    # Never NULL, so both uses of the ties keep one plan and share its shuffle.
-    passed = [F.coalesce((F.col("score") > F.lit(c)).cast("int"), F.lit(0)) for c in sorted(set(cuts))]
-    ties = ties.withColumn("__range", sum(passed, F.lit(0)))
+    finer = OCTAVE_RANGES * (1 + df.count() // range_rows)
+    ties = ties.withColumn("__range", range_number(F.col("score").cast("double"), finer))
 
     group = Window.partitionBy(*keys)
     above = group.orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)

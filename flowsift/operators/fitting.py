@@ -13,29 +13,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowsift.functions.numeric import finite
+from flowsift.functions.numeric import finite, range_number
 from flowsift.operators.columns import reindex
 from flowsift.operators.joins import attach
 from flowsift.schema import quoted
 from flowsift.session import stage
 
-# Ranges per octave of the first count, and equal parts of a range that is still too full.
-OCTAVE_RANGES = 256
+# Equal parts of a range that is still too full.
 PARTS = 4096
 # Distinct values of one range that one task puts in order.
 ORDERED_VALUES = 1_000_000
 
 
-def _range_number(value: Column) -> Column:
-    """Number of the range a value lies in; rises with the value, symmetric about zero."""
-    size = F.abs(value)
-    octave = F.floor(F.log2(size))
-    inside = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * OCTAVE_RANGES)
-    number = (octave + 1100) * OCTAVE_RANGES + inside + 1
-    number = F.when(size == 0, 0).when(size == math.inf, 1 << 30).otherwise(number)
-    return F.when(value < 0, -number).otherwise(number).cast("bigint")
-
-
 def _ranks(wanted: Mapping[tuple[int, int], float]) -> dict[int, set[int]]:
     """Ranks, from 1, that the positions of each column lie between."""
     out: dict[int, set[int]] = {}
@@ -45,17 +34,16 @@ def _ranks(wanted: Mapping[tuple[int, int], float]) -> dict[int, set[int]]:
 
 
 def _holding(counts: DataFrame, ranks: Mapping[int, set[int]], by: str, given: Mapping[int, int] | None = None) -> DataFrame:
-    """Rows of ``n, by, rows`` that hold a wanted rank of their ``n``, with the rows before them."""
+    """Rows of ``n, by, rows`` that hold a wanted rank of their ``n``, with the rows before them.
+
+    The wanted ranks are two per column and probability, a table of bounded size.
+    """
+    asked = [(n, rank, (given or {}).get(n, 0)) for n, at in ranks.items() for rank in sorted(at)]
+    table = F.broadcast(counts.sparkSession.createDataFrame(asked, "n int, rank bigint, offset bigint"))
     order = Window.partitionBy("n").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offset = F.lit(0)
-    for n, rows in (given or {}).items():
-        offset = F.when(F.col("n") == n, F.lit(rows)).otherwise(offset)
-    run = counts.withColumn("upto", offset + F.sum("rows").over(order)).withColumn("before", F.col("upto") - F.col("rows"))
-    some = F.lit(False)
-    for n, at in ranks.items():
-        for rank in at:
-            some = some | ((F.col("n") == n) & (F.col("before") < rank) & (F.col("upto") >= rank))
-    return run.where(some)
+    run = counts.withColumn("run", F.sum("rows").over(order)).join(table, "n")
+    run = run.withColumn("upto", F.col("run") + F.col("offset")).withColumn("before", F.col("upto") - F.col("rows"))
+    return run.where("before < rank AND upto >= rank").drop("run", "rank", "offset").distinct()
 
 
 def column_quantiles(
@@ -73,7 +61,7 @@ def column_quantiles(
     values = [F.when(~F.isnan(v), v) for v in values]
     melted = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("n"), v.alias("v")) for i, v in enumerate(values)]))).where("v IS NOT NULL")
     bounds = [F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")]
-    ranges = stage(melted.groupBy("n", _range_number(F.col("v")).alias("range")).agg(*bounds), "quantile-ranges")
+    ranges = stage(melted.groupBy("n", range_number(F.col("v")).alias("range")).agg(*bounds), "quantile-ranges")
     totals = {r["n"]: r["rows"] for r in ranges.groupBy("n").agg(F.sum("rows").alias("rows")).collect()}
     wanted = {(i, j): p * (totals[i] - 1) for i in totals for j, p in enumerate(probs)}
     ranks = _ranks(wanted)

@@ -45,16 +45,21 @@ def _read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Union of all CSV files; columns absent from a file become NULL.
 
-    Files are grouped by header, one multi-file scan per distinct header, so thousands of files
-    with one layout make a single scan.
+    Files are grouped by header, found in one distributed read of their first lines; then there is one
+    multi-file scan per distinct header, so thousands of files with one layout make a single scan.
     """
     files = list_files(spark, folder, "*.csv")
     if not files:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in files:
-        layouts[tuple(spark.read.option("header", True).csv(path).columns)].append(path)
-    parts = [_read_csv(spark, group) for group in layouts.values()]
+    lines = spark.read.text(files).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    headers = lines.where("start = 0 AND value != ''").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    layouts = headers.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    parts = [_read_csv(spark, r["paths"]) for r in layouts.orderBy("header").collect()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)

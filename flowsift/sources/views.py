@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsift.functions.labels import binary_target
-from flowsift.schema import BENIGN, LABELS, event_schema
+from flowsift.schema import BENIGN, FLOW_FEATURES, LABELS, event_schema
 
 FLOW_KEYS = ["k_order", "k_part", "k_supp", "k_line", "k_cents"]
 FLOW_COLS = [
@@ -108,6 +108,19 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Columns that the full feature table repeats in turn.
+WIDE_FROM = ["duration", "bytes", "total_price", "supplier", "port"]
+
+
+def wide_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow keys and all features by name: multiples of the view's columns, each with some NULLs."""
+    cells = [
+        F.when((F.col("k_part") + i) % 13 != 0, F.col(WIDE_FROM[i % len(WIDE_FROM)]) * (i % 9 + 1)).alias(name)
+        for i, name in enumerate(FLOW_FEATURES)
+    ]
+    return flows(spark, sf_dir).select(*FLOW_KEYS, *cells)
+
+
 def flows_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All flows, and those without a discount a second time."""
     base = flows(spark, sf_dir)
