@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.catalog import query
-from flowsift.catalog.evaluation import BEST, CURVE
 from flowsift.catalog.sql import commas, draw_key, index_draw, unit_draw, with_views
 from flowsift.functions.labels import attack_score, predicted_class
 from flowsift.models import forest as forests
@@ -24,13 +23,13 @@ from flowsift.plans.leakage import compare_leakage
 from flowsift.plans.preprocess import preprocess_flows, preprocess_payloads
 from flowsift.plans.score import ScoringBundle
 from flowsift.schema import IS_ATTACK
-from flowsift.session import stage
+from flowsift.session import scratch_dir, stage
 from flowsift.sources import views
 from flowsift.sources.views import FLOW_COLS, FLOW_KEYS
 
 SEED = 42
-TREES = TreeSettings(max_depth=4, learning_rate=0.3, rounds=8, trees=20)
-FOREST_TREES = 100
+TREES = TreeSettings()
+FOREST_TREES = 200
 
 
 @dataclass(frozen=True)
@@ -67,7 +66,7 @@ class Fitted:
 
     @cached_property
     def texts(self) -> tuple:
-        return train.train_text(self.payloads, "payload", "label", iterations=20)
+        return train.train_text(self.payloads, "payload", "label")
 
     @cached_property
     def joint(self) -> DataFrame:
@@ -146,12 +145,9 @@ def anomaly_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("classifier_fit")
 def classifier_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Held-out quality of a freshly fitted multi-class forest."""
+    """Held-out recall per class of the boosted model, stopped on validation rows."""
     m = fitted(spark, sf)
-    model = AttackClassifier.fit(
-        train.part(m.flows, "train"), None, FLOW_COLS, "label", TREES, "forest", SEED
-    )
-    scored = model.score(train.part(m.flows, "test"))
+    scored = m.tabular.classifier.score(train.part(m.flows, "test"))
     return scored.groupBy("label").agg(
         F.count(F.lit(1)).alias("rows"),
         F.round(F.avg((F.col("label") == F.col("predicted_class")).cast("double")), 6).alias("recall"),
@@ -161,7 +157,7 @@ def classifier_fit(spark: SparkSession, sf: str) -> DataFrame:
 @query("classifier_proba")
 def classifier_proba(spark: SparkSession, sf: str) -> DataFrame:
     m = fitted(spark, sf)
-    scored = m.tabular.classifier.proba(train.part(m.flows, "test"))
+    scored = m.tabular.classifier.proba(m.flows)
     return scored.select(
         *FLOW_KEYS, F.posexplode("probabilities").alias("position", "p")
     ).select(*FLOW_KEYS, "position", F.round("p", 6).alias("probability"))
@@ -215,20 +211,23 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 @query("text_baseline")
 def text_baseline(spark: SparkSession, sf: str) -> DataFrame:
     m = fitted(spark, sf)
-    scored = m.texts[1].score(train.part(m.payloads, "test"))
+    scored = m.texts[1].score(m.payloads)
     return scored.select("doc_id", "label", F.round("baseline_proba", 6).alias("baseline_proba"))
 
 
 @query("text_sequence")
 def text_sequence(spark: SparkSession, sf: str) -> DataFrame:
     m = fitted(spark, sf)
-    scored = m.texts[0].score(train.part(m.payloads, "test"))
+    scored = m.texts[0].score(m.payloads)
     return scored.select("doc_id", "label", F.round("text_proba", 6).alias("text_proba"))
 
 
-@query("text_threshold", with_views(BEST, "scored", **CURVE))
+@query("text_threshold")
 def text_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    return threshold_at_recall(views.scored(spark, sf), "y", "score", 0.8)
+    """Operating point of the text model on its validation rows."""
+    m = fitted(spark, sf)
+    scored = m.texts[0].score(train.part(m.payloads, "val"))
+    return threshold_at_recall(stage(scored.select("label", "text_proba"), "val-scores"), "label", "text_proba", 0.8)
 
 
 @query("score_matrix")
@@ -260,8 +259,10 @@ def text_bakeoff(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("gate_recheck")
 def gate_recheck(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate over models loaded from the store they were written to."""
     m = fitted(spark, sf)
-    decided = train.gate_check(m.tabular, train.part(m.flows, "test"), "label")
+    stored = m.tabular.save(spark, scratch_dir(spark, "tabular-models"))
+    decided = train.gate_check(train.TabularModels.load(spark, stored), train.part(m.flows, "test"), "label")
     return decided.select("run_id", "passed", F.array_join("reasons", "; ").alias("reasons"))
 
 
@@ -320,7 +321,7 @@ def smote_oversample(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("leakage_compare")
 def leakage_compare(spark: SparkSession, sf: str) -> DataFrame:
-    return compare_leakage(views.vectors(spark, sf), "vec_id", "v", "y", k=5, seed=SEED, iterations=20)
+    return compare_leakage(views.vectors(spark, sf), "vec_id", "v", "y", k=5, seed=SEED)
 
 
 @query("serve_transform")

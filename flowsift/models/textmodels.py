@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -18,45 +18,59 @@ from flowsift.models.persist import reloaded
 from flowsift.operators.evaluate import threshold_at_recall
 from flowsift.operators.fitting import class_weights
 
-# Far above the n-grams of any corpus: the vocabulary is bounded by min_df, not by this.
-MAX_TERMS = 1 << 24
+# Hashed terms; the driver holds one weight for each, whatever the corpus.
+TERM_WIDTH = 1 << 20
 
 
-def _logistic(weight: str, iterations: int) -> LogisticRegression:
+def _logistic(weight: str, iterations: int, ridge: float = 0.0) -> LogisticRegression:
     return LogisticRegression(
-        featuresCol="__v", labelCol="__y", weightCol=weight, maxIter=iterations, probabilityCol="__proba"
+        featuresCol="__v",
+        labelCol="__y",
+        weightCol=weight,
+        maxIter=iterations,
+        probabilityCol="__proba",
+        regParam=ridge,
+        standardization=not ridge,
     )
 
 
 @dataclass(frozen=True)
 class TextBaseline:
-    """Character n-gram TF-IDF with class-balanced logistic regression."""
+    """Character n-gram TF-IDF with class-balanced logistic regression and unit ridge penalty."""
 
     stages: PipelineModel
     text: str
 
     @classmethod
     def fit(
-        cls, train: DataFrame, text: str, label: str, min_df: int = 2, iterations: int = 100
+        cls,
+        train: DataFrame,
+        text: str,
+        label: str,
+        min_df: int = 2,
+        iterations: int = 100,
+        width: int = TERM_WIDTH,
     ) -> TextBaseline:
+        """Terms are hashed to ``width`` numbers; those in fewer than ``min_df`` texts weigh nothing."""
         data = class_weights(train.select(text, label), label).withColumn("__y", F.col(label).cast("double"))
-        data = _with_grams(data, text).select("__terms", "__y", "weight").persist()
+        hashed = HashingTF(inputCol="__terms", outputCol="__tf", numFeatures=width)
+        data = hashed.transform(_with_grams(data, text)).select("__tf", "__y", "weight").persist()
         try:
-            counter = CountVectorizer(
-                inputCol="__terms", outputCol="__tf", minDF=float(min_df), vocabSize=MAX_TERMS
-            ).fit(data)
-            counted = counter.transform(data)
-            idf = IDF(inputCol="__tf", outputCol="__x").fit(counted)
+            idf = IDF(inputCol="__tf", outputCol="__x", minDocFreq=min_df).fit(data)
             # MLlib's idf lacks the +1 of the smooth form, so the weights are rebuilt from it.
-            weigh = ElementwiseProduct(
-                inputCol="__tf", outputCol="__x", scalingVec=Vectors.dense(np.asarray(idf.idf.toArray()) + 1.0)
-            )
+            smooth = np.asarray(idf.idf.toArray()) + (np.asarray(idf.docFreq) >= min_df)
+            weigh = ElementwiseProduct(inputCol="__tf", outputCol="__x", scalingVec=Vectors.dense(smooth))
             unit = Normalizer(inputCol="__x", outputCol="__v", p=2.0)
-            model = _logistic("weight", iterations).fit(unit.transform(weigh.transform(counted)))
+            vectors = unit.transform(weigh.transform(data)).select("__v", "__y", "weight").persist()
+            try:
+                whole = vectors.agg(F.sum("weight")).head()[0] or 1.0
+                model = _logistic("weight", iterations, 1.0 / whole).fit(vectors)
+            finally:
+                vectors.unpersist()
             model = reloaded(model, train.sparkSession)
         finally:
             data.unpersist()
-        return cls(PipelineModel([counter, weigh, unit, model]), text)
+        return cls(PipelineModel([hashed, weigh, unit, model]), text)
 
     def score(self, df: DataFrame, out: str = "baseline_proba") -> DataFrame:
         keep = df.columns

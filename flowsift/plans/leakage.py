@@ -25,7 +25,11 @@ def _balanced(df: DataFrame, key: str, vector: str, target: str, seed: int) -> D
 def _fold_scores(train: DataFrame, held: DataFrame, vector: str, target: str, iterations: int) -> DataFrame:
     data = train.select(array_to_vector(vector).alias("x"), F.col(target).cast("double").alias("y"))
     model = LogisticRegression(
-        featuresCol="x", labelCol="y", maxIter=iterations, regParam=0.0, standardization=False
+        featuresCol="x",
+        labelCol="y",
+        maxIter=iterations,
+        regParam=1.0 / max(data.count(), 1),
+        standardization=False,
     ).fit(data)
     model = reloaded(model, train.sparkSession)
     scored = model.transform(held.withColumn("x", array_to_vector(vector)))

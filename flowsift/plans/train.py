@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.models.classifier import AttackClassifier, TreeSettings
@@ -19,6 +19,7 @@ from flowsift.operators.joins import spread
 from flowsift.operators.sampling import pair_payloads
 from flowsift.schema import IS_ATTACK
 from flowsift.session import stage
+from flowsift.sources.tables import append_run
 
 
 def part(df: DataFrame, name: str) -> DataFrame:
@@ -30,6 +31,16 @@ class TabularModels:
     forest: IsolationForest
     classifier: AttackClassifier
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        self.forest.to_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/forest")
+        self.classifier.save(spark, f"{path}/classifier")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TabularModels:
+        forest = IsolationForest.from_table(spark.read.parquet(f"{path}/forest"))
+        return cls(forest, AttackClassifier.load(spark, f"{path}/classifier"))
+
 
 def train_tabular(
     processed: DataFrame,
@@ -82,9 +93,31 @@ def gate_check(
 
 def require_gate(decision: DataFrame) -> None:
     """Raise unless every run passes, so that a submitted job exits with an error."""
-    failed = decision.where(~F.col("passed")).select("run_id", "reasons").limit(20).collect()
-    if failed:
-        raise SystemExit("; ".join(f"{r['run_id']}: {', '.join(r['reasons'])}" for r in failed))
+    failed = decision.where(~F.col("passed")).select("run_id", "reasons")
+    number = failed.count()
+    if number:
+        first = "; ".join(f"{r['run_id']}: {', '.join(r['reasons'])}" for r in failed.orderBy("run_id").take(20))
+        raise SystemExit(first if number <= 20 else f"{number} runs fail, the first by id: {first}")
+
+
+def record_training(
+    runs: str,
+    run_id: str,
+    settings: object,
+    metrics: DataFrame,
+    decision: DataFrame | None = None,
+) -> str:
+    """Append a training job to the run table: its settings, its metrics, and whether it passed the gate.
+
+    ``metrics`` has rows of (metric, value), ``decision`` the run's row of ``gate_check``.
+    """
+    spark = metrics.sparkSession
+    found = {r["metric"]: r["value"] for r in metrics.collect() if r["value"] is not None}
+    tags: dict[str, object] = {}
+    if decision is not None:
+        row = decision.where(F.col("run_id") == run_id).head()
+        tags = {"passed": row["passed"], "reasons": ", ".join(row["reasons"] or [])}
+    return append_run(spark, runs, run_id, asdict(settings), found, tags=tags)
 
 
 def train_text(
