@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 from flowsift.llm.tokens import Words, pieces, windows
 
 #: Bytes of text per bucket of hashes, and per hand-over of a task to the buckets.
-BUCKET_BYTES = 24 << 20
-FLUSH_BYTES = 8 << 20
+BUCKET_BYTES = 12 << 20
+FLUSH_BYTES = 2 << 20
 
-_ENTRIES = "bucket int, final boolean, ids binary, parts binary, starts binary, steps binary, far binary, keys binary, more binary"
+_ENTRIES = "bucket int, final boolean, ids binary, far_ids binary, parts binary, words binary, steps binary, far binary, keys binary, more binary"
+_PACKED = "share int, ids binary, parts binary, counts binary, places binary"
 _PLACES = "doc_id bigint, part int, places binary"
 
 
 def _steps(places: np.ndarray) -> tuple[bytes, bytes]:
-    """Rising numbers as one byte per step; steps of 255 and more follow apart."""
+    """Numbers as one byte per step; steps down and of 255 and more follow apart."""
     step = np.diff(places, prepend=0)
-    far = step >= 255
+    far = (step < 0) | (step >= 255)
     return np.where(far, 255, step).astype(np.uint8).tobytes(), step[far].astype(np.int64).tobytes()
 
 
@@ -78,52 +79,75 @@ class _Held:
                 rows.append(self._row(b, False, ids, parts, starts, at[own], owner[own], keys[own], more[own] if len(more) else more))
         if rows:
             names = [f.split()[0] for f in _ENTRIES.split(", ")]
-            kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
+            kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 8]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     def _row(self, bucket, final, ids, parts, starts, at, owner, keys, more) -> tuple:
         used = np.unique(owner)
-        steps, far = _steps(at)
-        low = keys.astype(np.uint32)  # the bucket holds the rest
-        return bucket, final, ids[used].tobytes(), parts[used].tobytes(), starts[used].tobytes(), steps, far, low.tobytes(), more.tobytes()
-
-
-def _by_document(ids: np.ndarray, parts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort((places, parts, ids))
-    ids, parts, places = ids[order], parts[order], places[order].astype(np.int32)
-    new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (parts[1:] != parts[:-1])
-    edges = np.append(np.flatnonzero(new), len(ids))
-    blobs = [places[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-    return pa.RecordBatch.from_arrays([pa.array(ids[edges[:-1]]), pa.array(parts[edges[:-1]]), pa.array(blobs, pa.binary())], ["doc_id", "part", "places"])
+        # the words before each document that is used, since the one before it
+        words = np.diff(starts[used], prepend=0).astype(np.uint32)
+        # the bucket holds the rest of the key
+        return bucket, final, *_steps(ids[used]), parts[used].tobytes(), words.tobytes(), *_steps(at), keys.astype(np.uint32).tobytes(), more.tobytes()
 
 
 def _read(row: dict) -> tuple[np.ndarray, ...]:
     at = _places(row["steps"], row["far"])
-    starts = np.frombuffer(row["starts"], np.int64)
+    starts = np.cumsum(np.frombuffer(row["words"], np.uint32).astype(np.int64))
     owner = np.searchsorted(starts, at, "right") - 1
     return (
-        np.frombuffer(row["ids"], np.int64)[owner],
+        _places(row["ids"], row["far_ids"])[owner],
         np.frombuffer(row["parts"], np.int32)[owner],
-        at - starts[owner],
+        (at - starts[owner]).astype(np.int32),
         np.frombuffer(row["keys"], np.uint32),
-        np.frombuffer(row["more"], np.uint64),
+        np.frombuffer(row["more"], np.uint32),
     )
 
 
-def _resolved(entries: DataFrame, resolve) -> DataFrame:
-    """Hits of all entries by document; a task holds one bucket at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(ids: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Where documents begin and end in rows ordered by them."""
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (parts[1:] != parts[:-1])
+    return np.append(np.flatnonzero(new), len(ids))
+
+
+def _packed(ids: np.ndarray, parts: np.ndarray, places: np.ndarray, shares: int) -> pa.RecordBatch:
+    """Hits, one row for each share of the documents that has any."""
+    share = parts % shares
+    order = np.lexsort((places, parts, ids, share))
+    edges = np.searchsorted(share[order], np.arange(shares + 1))
+    rows = []
+    for s in np.flatnonzero(np.diff(edges)):
+        own = order[edges[s] : edges[s + 1]]
+        runs = _runs(ids[own], parts[own])
+        first = own[runs[:-1]]
+        rows.append((int(s), ids[first].tobytes(), parts[first].tobytes(), np.diff(runs).astype(np.uint32).tobytes(), places[own].astype(np.int32).tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int32(), *[pa.binary()] * 4])], [c.split()[0] for c in _PACKED.split(", ")])
+
+
+def _by_document(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    if held:
+        ids, parts, places = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((places, parts, ids))
+        ids, parts, places = ids[order], parts[order], places[order]
+        edges = _runs(ids, parts)
+        first = edges[:-1]
+        blobs = [places[a:b].tobytes() for a, b in zip(first, edges[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(parts[first]), pa.array(blobs, pa.binary())], ["doc_id", "part", "places"])
+
+
+def _resolved(entries: DataFrame, resolve, shares: int) -> DataFrame:
+    """Hits of all entries by document. A task holds one bucket, then one share of the documents, at a time."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
 
         def hits() -> Iterator[pa.RecordBatch]:
             if held:
                 ids, parts, places, keys, more = (np.concatenate(x) for x in zip(*held))
                 held.clear()
-                _, hit = resolve(ids, places, keys, more)
+                hit = resolve(ids, places, keys, more)[1]
                 if hit.any():
-                    yield _by_document(ids[hit], parts[hit], places[hit])
+                    yield _packed(ids[hit], parts[hit], places[hit], shares)
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -132,50 +156,76 @@ def _resolved(entries: DataFrame, resolve) -> DataFrame:
                     yield from hits()
                     bucket = row["bucket"]
                 if row["final"]:
-                    ids, parts, places, _, _ = _read(row)
-                    yield _by_document(ids, parts, places)
+                    yield _packed(*_read(row)[:3], shares)
                 else:
                     held.append(_read(row))
         yield from hits()
 
-    found = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, _PLACES)
-    return found.groupBy("doc_id", "part").agg(F.collect_list("places").alias("places"))
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, held = None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number, *blobs = (c[i].as_py() for c in batch.columns)
+                ids, parts, counts, places = (np.frombuffer(b, t) for b, t in zip(blobs, (np.int64, np.int32, np.uint32, np.int32)))
+                if number != share:
+                    yield from _by_document(held)
+                    held.clear()
+                    share = number
+                held.append((np.repeat(ids, counts), np.repeat(parts, counts), places))
+        yield from _by_document(held)
+
+    packed = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, _PACKED)
+    return packed.repartition("share").sortWithinPartitions("share").mapInArrow(gather, _PLACES)
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together, and where groups begin in it."""
+    if keys.dtype == np.uint32:  # the key and the place in one number sort without a second array
+        packed = (keys.astype(np.uint64) << np.uint64(32)) | np.arange(len(keys), dtype=np.uint64)
+        packed.sort()
+        order, keys = packed.astype(np.uint32), (packed >> np.uint64(32)).astype(np.uint32)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    new = np.ones(len(order), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return order, np.flatnonzero(new)
 
 
-def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order that brings equal keys together, where groups begin in it, and each entry's group."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys]) if len(order) > 1 else new[1:]
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new) - 1
-    return order, np.flatnonzero(new), group
+def _spread(values: np.ndarray, begins: np.ndarray, n: int) -> np.ndarray:
+    return np.repeat(values, np.diff(np.append(begins, n)))
 
 
 def _anchors(block: int):
     """Anchors that meet a probe: a reference block stands at a multiple of ``block`` words of a document."""
 
     def resolve(ids, places, keys, more):
+        send, hit = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
         if not len(ids):
-            return np.zeros(0, bool), np.zeros(0, bool)
-        reference = places % block == 0
-        order, begins, group = _groups(keys)
-        smallest = np.minimum.reduceat(np.where(reference, ids, np.iinfo(np.int64).max)[order], begins)[group]
-        largest = np.maximum.reduceat(ids[order], begins)[group]
-        probe_hit = smallest < ids
+            return send, hit
+        order, begins = _groups(keys)
+        own, reference = ids[order], places[order] % block == 0
+        smallest = np.minimum.reduceat(np.where(reference, own, np.iinfo(np.int64).max), begins)
+        largest = np.maximum.reduceat(own, begins)
+        probe_hit = _spread(smallest, begins, len(own)) < own
+        largest = _spread(largest, begins, len(own))
+        hit[order] = probe_hit | (reference & (largest > own))
         # what others need: the smallest reference, the largest probe, and probes that still miss one
-        return ~probe_hit | (ids == largest), probe_hit | (reference & (largest > ids))
+        send[order] = ~probe_hit | (own == largest)
+        return send, hit
 
     return resolve
 
 
 def _repeats(ids, places, keys, more):
     """Windows that also start in a document of smaller id."""
-    if not len(ids):
-        return np.zeros(0, bool), np.zeros(0, bool)
-    order, begins, group = _groups(keys, more)
-    smallest = np.minimum.reduceat(ids[order], begins)[group]
-    return ids == smallest, ids > smallest
+    send, hit = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+    if len(ids):
+        order, begins = _groups((keys.astype(np.uint64) << np.uint64(32)) ^ more)
+        own = ids[order]
+        smallest = _spread(np.minimum.reduceat(own, begins), begins, len(own))
+        send[order], hit[order] = own == smallest, own > smallest
+    return send, hit
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -198,12 +248,12 @@ def _scan(batches: Iterator[pa.RecordBatch]):
 def find_repeats(docs: DataFrame, min_words: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Starts of all windows of ``min_words`` words that also start in a document of smaller id.
 
-    Returns the texts with ``places``, a list of arrays of window starts, NULL where there is none.
+    Returns the texts with ``places``, the window starts as 32-bit numbers, NULL where there is none.
 
     Every document is cut into blocks of ``(min_words + 1) // 2`` words, so each window holds a whole
     block of any document it repeats. Blocks are the reference, every rolling window of a block's
     length is a probe; their hashes meet in buckets. Around each hit the windows of full length are
-    compared by 128 bits, and neighbouring repeats join into maximal ones. Tasks settle what they can
+    compared by two hashes (64 bits and those of the bucket), and neighbouring repeats join into maximal ones. Tasks settle what they can
     among their own rows first: of a phrase that many documents share, a task hands on the probes that
     precede its first reference, its last probe, and later one window.
     """
@@ -221,7 +271,7 @@ def find_repeats(docs: DataFrame, min_words: int = 13, doc_id: str = "doc_id", t
             if not known.all():
                 keep = known[np.searchsorted(words.first, at, "right") - 1]
                 at, keys = at[keep], keys[keep]
-            held.add(ids, parts, words, at, keys, np.zeros(0, np.uint64), len(data))
+            held.add(ids, parts, words, at, keys, np.zeros(0, np.uint32), len(data))
             if held.bytes >= FLUSH_BYTES:
                 yield from held.flush(anchors)
         yield from held.flush(anchors)
@@ -235,11 +285,11 @@ def find_repeats(docs: DataFrame, min_words: int = 13, doc_id: str = "doc_id", t
             words = Words(data, offsets, "spaced", lower=False)
             hits = np.zeros(len(words.starts) + min_words, np.int32)
             for d, found in enumerate(marked):
-                for places in found or ():
-                    hits[words.first[d] + np.frombuffer(places, np.int32)] = 1
+                if found:
+                    hits[words.first[d] + np.frombuffer(found, np.int32)] = 1
             hashes = words.hashes()
             at, keys = windows(hashes, words.first, min_words)
-            _, more = windows(hashes, words.first, min_words, salt=1)
+            more = windows(hashes, words.first, min_words, salt=1)[1].astype(np.uint32)
             upto = np.concatenate([[0], np.cumsum(hits)])
             near = upto[at + min_words - block + 1] > upto[at]
             held.add(ids, parts, words, at[near], keys[near], more[near], len(data))
@@ -247,9 +297,9 @@ def find_repeats(docs: DataFrame, min_words: int = 13, doc_id: str = "doc_id", t
                 yield from held.flush(_repeats)
         yield from held.flush(_repeats)
 
-    hits = _resolved(slim.mapInArrow(blocks, _ENTRIES), anchors)
+    hits = _resolved(slim.mapInArrow(blocks, _ENTRIES), anchors, buckets)
     marked = slim.join(hits, ["doc_id", "part"], "left").select("doc_id", "part", "text", "places")
-    return slim.join(_resolved(marked.mapInArrow(whole, _ENTRIES), _repeats), ["doc_id", "part"], "left").select("doc_id", "text", "places")
+    return slim.join(_resolved(marked.mapInArrow(whole, _ENTRIES), _repeats, buckets), ["doc_id", "part"], "left").select("doc_id", "text", "places")
 
 
 _RESULT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string"
@@ -274,8 +324,8 @@ def remove_repeats(docs: DataFrame, min_words: int = 13, doc_id: str = "doc_id",
                 for content, found in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     words = content.encode().split()
                     cover = np.zeros(len(words) + 1, np.int32)
-                    for places in found or ():
-                        starts = np.frombuffer(places, np.int32)
+                    if found:
+                        starts = np.frombuffer(found, np.int32)
                         np.add.at(cover, starts, 1)
                         np.add.at(cover, starts + min_words, -1)
                     removed = np.cumsum(cover) > 0  # the last entry lies behind the text

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once. Longer documents are one piece of their own.
-PIECE = 2 << 20
+PIECE = 1 << 19
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
