@@ -28,7 +28,8 @@ from flowsift.sources import views
 from flowsift.sources.views import FLOW_COLS, FLOW_KEYS
 
 SEED = 42
-TREES = TreeSettings()
+# Default settings; the bound on labelled rows keeps the boosting of a registered query short.
+TREES = TreeSettings(max_rows=20_000)
 FOREST_TREES = 200
 
 

@@ -22,11 +22,16 @@ from pyspark.sql import functions as F
 from flowsift.functions.labels import attack_score, label_id, label_name, predicted_class
 from flowsift.models.persist import reloaded
 from flowsift.operators.fitting import class_weights
+from flowsift.schema import quoted
 
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Defaults of the boosted trees."""
+    """Defaults of the boosted trees.
+
+    ``max_rows`` bounds the labelled rows of a fit, training and validation each: those of smallest
+    hash. None takes all rows.
+    """
 
     max_depth: int = 6
     learning_rate: float = 0.1
@@ -36,6 +41,14 @@ class TreeSettings:
     min_weight: int = 1
     trees: int = 60
     bins: int = 256
+    max_rows: int | None = None
+
+
+def _bounded(rows: DataFrame, most: int | None) -> DataFrame:
+    if most is None:
+        return rows
+    named = [F.col(quoted(c)) for c in rows.columns]
+    return rows.withColumn("__order", F.xxhash64(*named)).orderBy("__order").limit(most).drop("__order")
 
 
 @dataclass(frozen=True)
@@ -63,6 +76,9 @@ class AttackClassifier:
         parallelism: int = 8,
     ) -> AttackClassifier:
         """Rows are weighted by class balance; validation rows stop the boosting early."""
+        train = _bounded(train.select(*features, label), settings.max_rows)
+        if val is not None:
+            val = _bounded(val.select(*features, label), settings.max_rows)
         data = class_weights(train.select(*features, label), label).withColumn("__val", F.lit(False))
         if val is not None:
             held = val.select(*features, label).withColumns({"weight": F.lit(1.0), "__val": F.lit(True)})

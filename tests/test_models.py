@@ -263,3 +263,16 @@ def test_gate_failure_raises(spark):
     with pytest.raises(SystemExit, match="FAIL x"):
         require_gate(table)
     require_gate(table.withColumn("passed", F.lit(True)))
+
+
+def test_training_is_recorded(spark, tmp_path):
+    from flowsift.models.classifier import TreeSettings
+    from flowsift.plans.train import record_training
+    from flowsift.sources.tables import read_runs
+
+    metrics = spark.createDataFrame([("pr_auc", 0.9), ("mcc", None)], "metric string, value double")
+    decision = spark.createDataFrame([("r1", False, ["low"])], "run_id string, passed boolean, reasons array<string>")
+    path = record_training(str(tmp_path / "runs"), "r1", TreeSettings(), metrics, decision)
+    rows = {(r["kind"], r["name"]): r["value"] for r in read_runs(spark, path).collect()}
+    assert rows["param", "rounds"] == "200" and rows["metric", "pr_auc"] == "0.9" and rows["tag", "passed"] == "False"
+    assert ("metric", "mcc") not in rows
