@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowsift.llm.tokens import Words, mix, pieces
 
@@ -45,10 +46,20 @@ def _grams(points: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, n
     for j in range(n):
         total = (total + points[j : j + m] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         total ^= total >> np.uint64(29)
-    same = owner[:m] == owner[n - 1 :]
+    same = (owner[:m] == owner[n - 1 :]) & ((points[:m] != 0x20) | (n > 1))
     return mix(total[same]), owner[:m][same]
 
 
+def _summed(kind: np.ndarray, lang: np.ndarray, key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One entry per language and hash of a single kind."""
+    order = np.lexsort((key, lang))
+    lang, key = lang[order], key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (lang[1:] != lang[:-1]) | (key[1:] != key[:-1])
+    at = np.flatnonzero(new)
+    return kind[at], lang[at], key[at], np.add.reduceat(times[order], at) if len(at) else times
+
+
 def count_features(training: DataFrame) -> DataFrame:
     """``kind, hash, lang, times`` over the words and n-grams of ``lang, text`` rows, summed per task."""
 
@@ -56,20 +67,16 @@ def count_features(training: DataFrame) -> DataFrame:
         names: dict[str, int] = {}
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def summed() -> tuple[np.ndarray, ...]:
-            kind, lang, key, times = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((key, lang, kind))
-            kind, lang, key, times = kind[order], lang[order], key[order], times[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (kind[1:] != kind[:-1]) | (lang[1:] != lang[:-1]) | (key[1:] != key[:-1])
-            at = np.flatnonzero(new)
-            return kind[at], lang[at], key[at], np.add.reduceat(times, at)
-
-        def rows() -> pa.RecordBatch:
-            kind, lang, key, times = held[0]
+        def rows(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            kind, lang, key, times = (np.concatenate(x) for x in zip(*parts))
             values = pa.array(list(names), pa.string()).take(pa.array(lang))
             return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key.view(np.int64)), values, pa.array(times)], ["kind", "hash", "lang", "times"])
 
+        def settle() -> list[tuple[np.ndarray, ...]]:
+            """Entries summed within each kind, so that one kind's arrays are sorted at a time."""
+            kinds = sorted({int(h[0][0]) for h in held if len(h[0])})
+            return [_summed(*(np.concatenate(x) for x in zip(*[h for h in held if len(h[0]) and h[0][0] == k]))) for k in kinds]
+
         for batch in batches:
             langs = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], np.int64)
             for row, data, offsets in pieces(batch.column(1)):
@@ -87,15 +94,14 @@ def count_features(training: DataFrame) -> DataFrame:
                 points, owner = _spelled(words, distinct)
                 for n in range(1, LONGEST + 1):
                     keys, word = _grams(points, owner, n)
-                    held.append((np.full(len(keys), n, np.int32), of_word[distinct][word], keys, times[word]))
+                    held.append(_summed(np.full(len(keys), n, np.int32), of_word[distinct][word], keys, times[word]))
                 if sum(len(h[0]) for h in held) > HELD:
-                    held[:] = [summed()]
-                    if len(held[0][0]) > HELD // 2:
-                        yield rows()
+                    held[:] = settle()
+                    if sum(len(h[0]) for h in held) > HELD // 2:
+                        yield rows(held)
                         held.clear()
         if held:
-            held[:] = [summed()]
-            yield rows()
+            yield rows(settle())
 
     counted = training.select("lang", "text").mapInArrow(run, "kind int, hash bigint, lang string, times bigint")
     return counted.groupBy("kind", "hash", "lang").agg(F.sum("times").alias("times"))
@@ -183,43 +189,44 @@ def fit_languages(training: DataFrame, max_words: int = MAX_WORDS, max_grams: in
         order = np.argsort(hashes)
         counts = np.column_stack([table.column(f"l{i}").to_numpy() for i in range(len(languages))])[order].astype(float)
         of = np.maximum(totals.get(kind, np.ones(len(languages))), 1.0)
-        # an entry that a language never had costs as much as a tenth of one sighting
-        logs.append(np.log(np.maximum(counts, 0.1) / of).astype(np.float32))
+        # an entry that a language never had costs the same in all: a tenth of one sighting in the largest
+        logs.append(np.where(counts > 0, np.log(np.maximum(counts, 1.0) / of), np.log(0.1 / of.max())).astype(np.float32))
         keys.append(hashes[order])
     entries.unpersist()
     return LanguageModel(languages, int(np.argmax(totals.get(0, np.ones(len(languages))))), keys, logs)
 
 
-def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score`` of every whole text.
+def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The ``keep`` columns with ``lang_pred, score`` of every whole text.
 
     A word is a run of letters in lower case. Its evidence is the log frequency of the word in each
     language; a word that the model lacks is scored by its 5-grams, where it has none of those by
     4-grams, and so on. The language of the largest mean wins, on a tie the first by name. The score
     is its share after up to ``EVIDENCE`` words. ``und`` with score 0 for a NULL text, one without a
     letter, or an empty model; a text with letters of which nothing is known gets the language of most
-    training words and an even score. Repeated rows are scored each; an empty table gives no rows;
-    other columns are not read.
+    training words and an even score. Repeated rows are scored each; an empty table gives no rows.
+    Kept columns named like the added ones are overwritten, other columns are not read.
     """
-    id_type = docs.schema[doc_id].dataType.simpleString()
+    kept = [c for c in keep if c not in ("lang_pred", "score")]
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
-            letters = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for row, data, offsets in pieces(batch.column(1)):
+            letters = batch.column(len(kept) + 1).to_numpy(zero_copy_only=False).astype(bool)
+            for row, data, offsets in pieces(batch.column(len(kept))):
                 has = letters[row : row + len(offsets) - 1]
                 if model.languages:
                     best, score = model.predict(data, offsets)
                     best, score = np.where(has, best, len(model.languages)), np.where(has, score, 0.0)
                 else:
                     best, score = np.zeros(len(has), np.int64), np.zeros(len(has))
-                ids = batch.column(0).slice(row, len(has))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(names[best], pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+                own = [batch.column(i).slice(row, len(has)) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(names[best], pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
 
     content = F.col(text)
     has_letter = F.coalesce(content.rlike(r"\p{L}"), F.lit(False))
-    return docs.select(F.col(doc_id), F.lower(content), has_letter).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
+    return docs.select(*kept, F.lower(content).alias("lower_text"), has_letter.alias("has_letter")).mapInArrow(run, schema)
 
 
 def learn_and_identify(docs: DataFrame, in_training: Column) -> DataFrame:

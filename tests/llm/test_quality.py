@@ -34,8 +34,8 @@ def test_partitions_do_not_matter(spark):
     a, b = (fit_quality(frame.repartition(n)) for n in (1, 6))
     x = np.array([r[:-1] for r in rows])
     assert np.allclose(a.raw(x), b.raw(x), atol=1e-6)
-    # a product of two signs is not linear in them
-    assert np.mean((a.score(x) > 0.5) == np.array([r[-1] for r in rows])) > 0.9
+    # a product of two signs among ten other numbers; a linear score would be right half the time
+    assert np.mean((a.score(x) > 0.5) == np.array([r[-1] for r in rows])) > 0.8
 
 
 def test_isotonic_regression():
