@@ -19,7 +19,7 @@ LONGEST = 5
 MAX_WORDS = 100_000
 MAX_GRAMS = 30_000
 #: Counted entries that a task holds before it hands them on.
-HELD = 1 << 20
+HELD = 1 << 18
 #: Words that count as independent evidence when the score is formed.
 EVIDENCE = 30
 
