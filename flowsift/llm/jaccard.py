@@ -14,8 +14,8 @@ from flowsift.llm.tokens import mix, shingle_sets
 from flowsift.session import stage
 
 #: Bytes of text per bucket of signatures, and per hand-over of a task to the buckets.
-BUCKET_BYTES = 24 << 20
-FLUSH_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20
+FLUSH_BYTES = 2 << 20
 #: Of a band's segments, one in so many also offers its one-deletion neighbourhood.
 DELETION_SHARE = 16
 #: Bands of at most so many segments index empty segments too, so that none is ever missing.
@@ -323,7 +323,6 @@ def link_sets(docs: DataFrame, sets: DataFrame, bands: Bands, shingle: int, buck
         return pairs.where(F.least("size_a", "size_b") * bands.den >= F.greatest("size_a", "size_b") * bands.num).select("a", "b")
 
     first = stage(fitting(stars), "jaccard-pairs")
-    partners = looked.join(shared.select("sig", F.col("set_key").alias("other"), F.col("deleted").alias("other_deleted")), "sig")
     involved = looked.select("set_key").union(shared.join(looked.select("sig").distinct(), "sig", "left_semi").select("set_key")).distinct()
     members = _members(docs, sets.join(involved, "set_key", "left_semi").select("doc_id"), shingle)
     links = stage(_verify(first, members, bands), "jaccard-links")
