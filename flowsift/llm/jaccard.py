@@ -327,9 +327,12 @@ def link_sets(docs: DataFrame, sets: DataFrame, bands: Bands, shingle: int, buck
     members = _members(docs, sets.join(involved, "set_key", "left_semi").select("doc_id"), shingle)
     links = stage(_verify(first, members, bands), "jaccard-links")
     labels = components(links)
-    inside = _labelled(looked, labels).withColumnRenamed("component", "own")
-    others = shared.select("sig", "set_key", F.col("deleted").alias("other_deleted"))
-    others = _labelled(others, labels).withColumnRenamed("set_key", "other").withColumnRenamed("component", "foreign")
+    others = _labelled(shared.select("sig", "set_key", F.col("deleted").alias("other_deleted")), labels)
+    # a signature whose sets are all in one component has nothing left to link
+    several = others.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sig")
+    open_ = looked.join(several, "sig", "left_semi")
+    inside = _labelled(open_, labels).withColumnRenamed("component", "own")
+    others = others.join(open_.select("sig").distinct(), "sig", "left_semi").withColumnRenamed("set_key", "other").withColumnRenamed("component", "foreign")
     partners = inside.join(others, "sig").where("own != foreign")
     by_exact = F.col("by_exact") & ~F.col("other_deleted")
     by_upgrade = F.col("upgrade") & (F.col("deleted") != F.col("other_deleted"))
