@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ NAME = rf"(?<!\p{{L}})(?:{_NAMES})\s+\p{{Lu}}\p{{Ll}}+(?!\p{{L}})"
 PATTERNS = [
     r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
     r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Z])",
-    r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9_\-./+]{6,}",
+    r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\x22']?)(?=[_\-./+]*[A-Za-z0-9])[A-Za-z0-9_\-./+]{6,}",
     r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
     r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     r"(?<![\p{L}\p{N}])\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){2,4}(?!\d)",
@@ -39,7 +41,9 @@ ENTITY = "|".join(PATTERNS)
 #: A text without any of these has no entity: all but names have a digit or an at sign, or follow one of these words.
 HINT = r"[0-9@]|(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]|" + NAME
 
-#: Tries after which a kind of entity is taken to have no free surrogate left.
+#: Tries after which a surrogate gets one character, octet or syllable longer.
+LONGER = 4
+#: Tries that no entity reaches: the last ones draw from some 50 more characters than the entity has.
 ATTEMPTS = 200
 
 _DIGITS = ("phone", "card", "ssn")
@@ -51,7 +55,7 @@ def entity_kind(mention: Column) -> Column:
         ("key", mention.rlike(r"^(?:AKIA|ASIA)[0-9A-Z]{16}$")),
         ("ip", mention.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$")),
         ("ssn", mention.rlike(r"^\d{3}-\d{2}-\d{4}$")),
-        ("phone", mention.rlike(r"^[+(]|^\d{3}[ .\-]\d{3}[ .\-]\d{4}$")),
+        ("phone", mention.rlike(r"^[+(][\d ().\-]*$|^\d{3}[ .\-]\d{3}[ .\-]\d{4}$")),
         ("card", mention.rlike(r"^\d(?:[ \-]?\d){12,18}$")),
         ("iban", mention.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$")),
         ("name", mention.rlike(r"^\p{L}+\s+\p{Lu}\p{Ll}+$")),
@@ -73,8 +77,13 @@ def canonical(kind: Column, mention: Column) -> Column:
     )
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _characters(value: Column) -> Column:
-    return F.when(F.length(value) > 0, F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.substring(value, i, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    return _bound(value, lambda v: F.when(F.length(v) > 0, F.transform(F.sequence(F.lit(1), F.length(v)), lambda i: F.substring(v, i, F.lit(1)))).otherwise(F.array().cast("array<string>")))
 
 
 def _byte(stream: Column, at: Column) -> Column:
@@ -114,6 +123,10 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, b: a + b) % 10
 
 
+def _longer(attempt: Column) -> Column:
+    return F.floor(attempt / LONGER).cast("int")
+
+
 def _name(value: Column, stream: Column, attempt: Column) -> Column:
     given = F.substring_index(value, " ", 1)
     out = F.lit(None).cast("string")
@@ -122,31 +135,45 @@ def _name(value: Column, stream: Column, attempt: Column) -> Column:
         first = F.element_at(F.array(*map(F.lit, own)), _byte(stream, F.lit(0)) % len(own) + 1)
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
         # more tries, longer names: there is always a free one
-        parts = F.transform(F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / 4).cast("int")), lambda i: F.element_at(syllables, _byte(stream, i) % len(SYLLABLES[script]) + 1))
+        parts = F.transform(F.sequence(F.lit(1), F.lit(2) + _longer(attempt)), lambda i: F.element_at(syllables, _byte(stream, i) % len(SYLLABLES[script]) + 1))
         family = F.concat(F.array_join(parts, ""), F.lit(ENDINGS[gender, script]))
         out = F.when(given.isin(own), F.concat(first, F.lit(" "), family)).otherwise(out)
     return out
 
 
 def candidate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
-    """A replacement of the entity's kind and format, drawn by the key."""
-    stream = F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string"), F.lit(str(i))), 256) for i in range(4)])
-    no, never = F.lit(False), F.lit(1 << 30)
-    top_domain = F.length(value) - F.length(F.substring_index(value, ".", -1))
-    octets = [(_byte(stream, F.lit(0)) % 223 + 1), _byte(stream, F.lit(1)), _byte(stream, F.lit(2)), _byte(stream, F.lit(3)) % 254 + 1]
-    number = F.concat(F.substring(value, 1, 1), _shaped(F.substring(value, 2, 1000), stream, no, never))
-    body = F.substring(number, F.lit(1), F.length(number) - 1)
-    check = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
-    coded = F.concat(F.substring(value, 1, 4), _shaped(F.substring(value, 5, 1000), stream, no, never))
-    return (
-        F.when(kind == "email", _shaped(value, stream, no, top_domain))
-        .when(kind == "ip", F.concat_ws(".", *octets))
-        .when(kind == "card", F.when(_luhn(value) == 0, F.concat(body, check)).otherwise(number))
-        .when((kind == "phone") & (F.length(value) > 10), number)
-        .when(kind.isin("iban", "key"), coded)
-        .when(kind == "name", _name(value, stream, attempt))
-        .otherwise(_shaped(value, stream, (kind == "secret") & value.rlike("^(?:(?=.*[a-f])[0-9a-f]+|(?=.*[A-F])[0-9A-F]+)$"), never))
-    )
+    """A replacement of the entity's kind and format, drawn by the key.
+
+    It keeps the length for ``LONGER`` tries, then grows: however few values a format has and however
+    many of them the corpus holds, there is a free one.
+    """
+    longer, given = _longer(attempt), value
+    more = F.when(kind == "email", F.concat(F.repeat(F.lit("a"), longer), value)).when(kind.isin("name", "ip"), value).otherwise(F.concat(value, F.repeat(F.lit("0"), longer)))
+    stream = F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), kind, given, attempt.cast("string"), F.lit(str(i))), 256) for i in range(4)])
+
+    def drawn(value: Column, stream: Column) -> Column:
+        no, never = F.lit(False), F.lit(1 << 30)
+        hexadecimal = (kind == "secret") & given.rlike("^(?:(?=.*[a-f])[0-9a-f]+|(?=.*[A-F])[0-9A-F]+)$")
+        top_domain = F.length(value) - F.length(F.substring_index(value, ".", -1))
+        octets = [(_byte(stream, F.lit(0)) % 223 + 1), _byte(stream, F.lit(1)), _byte(stream, F.lit(2)), _byte(stream, F.lit(3)) % 254 + 1]
+        further = F.transform(F.sequence(F.lit(0), longer), lambda i: F.when(i > 0, F.concat(F.lit("."), _byte(stream, i + 3).cast("string"))).otherwise(""))
+        number = F.concat(F.substring(value, 1, 1), _shaped(F.substring(value, 2, 1000), stream, no, never))
+
+        def checked(number: Column) -> Column:
+            body = F.substring(number, F.lit(1), F.length(number) - 1)
+            return F.concat(body, F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
+
+        return (
+            F.when(kind == "email", _shaped(value, stream, no, top_domain))
+            .when(kind == "ip", F.concat(F.concat_ws(".", *octets), F.array_join(further, "")))
+            .when(kind == "card", F.when(_luhn(given) == 0, _bound(number, checked)).otherwise(number))
+            .when((kind == "phone") & (F.length(given) > 10), number)
+            .when(kind.isin("iban", "key"), F.concat(F.substring(value, 1, 4), _shaped(F.substring(value, 5, 1000), stream, no, never)))
+            .when(kind == "name", _name(value, stream, attempt))
+            .otherwise(_shaped(value, stream, hexadecimal, never))
+        )
+
+    return _bound(F.struct(more.alias("value"), stream.alias("stream")), lambda b: drawn(b["value"], b["stream"]))
 
 
 def rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
@@ -159,7 +186,7 @@ def rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
         lambda s, c: F.when(
             F.regexp_like(c, slot), F.struct(F.concat(s["out"], F.substring(surrogate, s["used"] + 1, F.lit(1))).alias("out"), (s["used"] + 1).alias("used"))
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["used"].alias("used"))),
-        lambda s: s["out"],
+        lambda s: F.concat(s["out"], F.substring(surrogate, s["used"] + 1, F.length(surrogate))),
     )
     spaced = F.concat(
         F.initcap(F.substring_index(surrogate, " ", 1)), F.regexp_extract(mention, r"\s+", 0), F.initcap(F.substring_index(surrogate, " ", -1))

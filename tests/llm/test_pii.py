@@ -112,3 +112,27 @@ def test_odd_rows(spark):
     again = replace_entities(marked, "k").collect()
     assert len(again) == docs.count() and {r.n_entities for r in again if r.text is not None} == {1}
     assert replace_entities(no_docs(spark), "k").count() == 0
+
+
+def test_form_lines_are_no_entities_and_odd_ones_end(spark):
+    blank = ["Password: ________", "token = ......", "password:------", "pwd=/////////"]
+    texts = [*blank, "token = +abcdefgh", "password:------1", "_@-.de"]
+    got = replaced(spark, texts)
+    assert all(got[i].text == t and got[i].n_entities == 0 for i, t in enumerate(blank))
+    assert all(got[i].text != texts[i] and got[i].n_entities == 1 for i in range(len(blank), len(texts)))
+    assert re.fullmatch(r"token = \+[a-z]{8}", got[4].text) and got[4].text[9:] != "abcdefgh"
+
+
+def test_full_formats_get_longer(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    emails = [f"{a}@{b}.de" for a in letters for b in letters]  # all of the 676 that there are
+    secrets = [f"------{d}" for d in range(10)]
+    phones = [f"{d:02d}" for d in range(100)]
+    addresses = [("ip", "10.20.30.40")]
+    entities = [*[("email", x) for x in emails], *[("secret", x) for x in secrets], *[("phone", x) for x in phones], *addresses]
+    rows = assign_surrogates(spark.createDataFrame(entities, "kind string, value string"), "k").collect()
+    assert len({(r.kind, r.value) for r in rows}) == len(rows) == len(entities) == len({(r.kind, r.surrogate) for r in rows})
+    assert not {(r.kind, r.surrogate) for r in rows} & set(entities)
+    assert all(re.fullmatch(r"[a-z]{2,}@[a-z]\.de", r.surrogate) for r in rows if r.kind == "email")
+    mention = spark.createDataFrame([("12", "1-2", "345")], "value string, mention string, surrogate string")
+    assert mention.select(pii.rendered(F.lit("phone"), F.col("mention"), F.col("surrogate"))).head()[0] == "3-45"
