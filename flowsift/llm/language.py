@@ -15,7 +15,7 @@ from flowsift.llm.tokens import Words, mix, pieces
 
 #: Longest n-gram. Kind 0 of the model holds whole words, kind n the n-grams of n characters.
 LONGEST = 5
-#: Most frequent entries that the model keeps of words and of each n-gram length: its fixed size.
+#: Most frequent entries of each language that the model keeps, of words and of each n-gram length.
 MAX_WORDS = 100_000
 MAX_GRAMS = 30_000
 #: Counted entries that a task holds before it hands them on.
@@ -109,7 +109,7 @@ def count_features(training: DataFrame) -> DataFrame:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies of the kept words and n-grams per language; of bounded size."""
+    """Log frequencies of the kept words and n-grams per language; its size depends on the number of languages only."""
 
     languages: list[str]
     usual: int  # the language of most training words
@@ -167,31 +167,54 @@ class LanguageModel:
         return best, 1.0 / np.exp(gap).sum(1)
 
 
-def fit_languages(training: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> LanguageModel:
-    """Counts every word and n-gram of ``lang, text`` rows; the model keeps the most frequent.
+def _most_frequent(entries: DataFrame, n_languages: int, each: int, total: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in order, and their counts per language, of the ``each`` most frequent entries of every language.
 
-    Rows without a language or text are left out. The number of distinct languages must be small:
-    the driver receives ``max_words + 5 * max_grams`` entries with one count per language.
+    If there are more than ``total``, the first of every language stay, then the second of every one, and so on.
+    """
+    hashes, counts, ranks = [], [], []
+    for i in range(n_languages):
+        table = entries.where(F.col(f"l{i}") > 0).orderBy(F.desc(f"l{i}"), "hash").limit(each).toArrow()
+        hashes.append(table.column("hash").to_numpy().view(np.uint64))
+        counts.append(np.column_stack([table.column(f"l{j}").to_numpy() for j in range(n_languages)]))
+        ranks.append(np.arange(table.num_rows))
+    found, rows, rank = np.concatenate(hashes), np.concatenate(counts), np.concatenate(ranks)
+    order = np.lexsort((rank, found))
+    new = np.ones(len(order), bool)
+    new[1:] = found[order][1:] != found[order][:-1]
+    at = order[new]
+    if total is not None:
+        at = at[np.lexsort((found[at], -rows[at].sum(1), rank[at]))[:total]]
+        at = at[np.argsort(found[at])]
+    return found[at], rows[at].astype(float)
+
+
+def fit_languages(training: DataFrame, max_words: int | None = None, max_grams: int | None = None) -> LanguageModel:
+    """Counts every word and n-gram of ``lang, text`` rows; the model keeps the most frequent of each language.
+
+    Of each language that is ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each length, whatever the
+    other languages have. ``max_words`` and ``max_grams`` bound the entries of all languages together;
+    the languages then share them evenly. Rows without a language or text are left out. The number of
+    distinct languages must be small: the driver receives ``MAX_WORDS + 5 * MAX_GRAMS`` entries for each,
+    with one count per language.
     """
     usable = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.lower("text").alias("text"))
     languages = sorted(r.lang for r in usable.select("lang").distinct().collect())
     if not languages:
         return LanguageModel([], 0, [np.zeros(0, np.uint64)] * (LONGEST + 1), [np.zeros((0, 0), np.float32)] * (LONGEST + 1))
     columns = [F.sum(F.when(F.col("lang") == x, F.col("times")).otherwise(0)).alias(f"l{i}") for i, x in enumerate(languages)]
-    entries = count_features(usable).groupBy("kind", "hash").agg(F.sum("times").alias("times"), *columns).persist()
+    entries = count_features(usable).groupBy("kind", "hash").agg(*columns).persist()
     sums = entries.groupBy("kind").agg(*[F.sum(f"l{i}").alias(f"l{i}") for i in range(len(languages))]).collect()
     totals = {r.kind: np.array(r[1:], float) for r in sums}
     keys, logs = [], []
     for kind in range(LONGEST + 1):
-        most = entries.where(F.col("kind") == kind).orderBy(F.desc("times"), "hash").limit(max_words if kind == 0 else max_grams)
-        table = most.drop("kind", "times").toArrow()
-        hashes = table.column("hash").to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        counts = np.column_stack([table.column(f"l{i}").to_numpy() for i in range(len(languages))])[order].astype(float)
+        total = max_words if kind == 0 else max_grams
+        each = total if total is not None else MAX_WORDS if kind == 0 else MAX_GRAMS
+        hashes, counts = _most_frequent(entries.where(F.col("kind") == kind), len(languages), each, total)
         of = np.maximum(totals.get(kind, np.ones(len(languages))), 1.0)
         # an entry that a language never had costs the same in all: a tenth of one sighting in the largest
         logs.append(np.where(counts > 0, np.log(np.maximum(counts, 1.0) / of), np.log(0.1 / of.max())).astype(np.float32))
-        keys.append(hashes[order])
+        keys.append(hashes)
     entries.unpersist()
     return LanguageModel(languages, int(np.argmax(totals.get(0, np.ones(len(languages))))), keys, logs)
 

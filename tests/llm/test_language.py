@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from brute import no_docs, odd_docs, odd_rows
+from flowsift.llm import language
 from flowsift.llm.language import fit_languages, identify, learn_and_identify
 from flowsift.llm.words import held_out
 
@@ -57,3 +58,22 @@ def test_odd_rows(spark):
     assert learn_and_identify(no_docs(spark), F.lit(True)).count() == 0
     kept = identify(docs, fit_languages(docs), keep=docs.columns)
     assert dict(kept.dtypes)["score"] == "double" and set(kept.columns) == set(docs.columns)
+
+
+def test_a_hot_language_crowds_nobody_out(spark, monkeypatch):
+    rng = random.Random(3)
+    hot = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(300)]
+    small = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(8)]
+    rows = [(i, " ".join(hot), "aa") for i in range(40)] + [(40, " ".join(small), "bb")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    test = spark.createDataFrame([(1, " ".join(small[:4])), (2, " ".join(hot[:4]))], "doc_id bigint, text string")
+    shared = fit_languages(frame, max_words=16, max_grams=40)
+    assert len(shared.keys[0]) == 16
+    monkeypatch.setattr(language, "MAX_WORDS", 10)
+    monkeypatch.setattr(language, "MAX_GRAMS", 60)
+    own = fit_languages(frame)
+    assert len(own.keys[0]) == 18 and all(len(k) <= 120 for k in own.keys[1:])
+    for model in (shared, own):
+        missing = model.logs[0].min()
+        assert (model.logs[0][:, 1] > missing).sum() == 8
+        assert {r.doc_id: r.lang_pred for r in identify(test, model).collect()}[1] == "bb"
