@@ -72,8 +72,7 @@ class Fitted:
     @cached_property
     def joint(self) -> DataFrame:
         pool = train.pool_scores(train.part(self.payloads, "train"), ["doc_id"], "label", self.texts[0])
-        used = self.flows.where(F.col("split").isin("train", "test"))
-        joint = train.joint_scores(used, [*FLOW_KEYS, "split"], pool, ["doc_id"], "label", self.tabular, SEED)
+        joint = train.joint_scores(self.flows, [*FLOW_KEYS, "split"], pool, ["doc_id"], "label", self.tabular, SEED)
         return stage(joint, "joint", partition_by="split")
 
     @cached_property
@@ -242,7 +241,7 @@ def score_matrix(spark: SparkSession, sf: str) -> DataFrame:
 @query("fusion_fit")
 def fusion_fit(spark: SparkSession, sf: str) -> DataFrame:
     m = fitted(spark, sf)
-    scored = train.part(m.joint, "test").select(*FLOW_KEYS, IS_ATTACK, fusion_proba(m.fusion).alias("p"))
+    scored = m.joint.select(*FLOW_KEYS, IS_ATTACK, fusion_proba(m.fusion).alias("p"))
     return scored.withColumn("p", F.round("p", 6))
 
 

@@ -256,6 +256,23 @@ def test_model_queries_have_rows(spark, sf, name):
     assert load()[0][name](spark, sf).count() > 0
 
 
+def test_every_flow_is_scored_and_fused(spark, sf, monkeypatch):
+    from flowsift.catalog import models
+
+    flows = spark.createDataFrame([(i, s, 0.5) for i, s in enumerate(["train", "val", "test"] * 4)], "k int, split string, s double")
+    flows = flows.withColumns({c: F.col("k") for c in models.FLOW_KEYS}).withColumn(models.IS_ATTACK, F.col("k") % 2)
+    scored = flows.withColumns({c: F.col("s") for c in ("anomaly_score", "attack_proba", "text_proba")})
+    fitted = models.Fitted(spark, sf)
+    fitted.__dict__.update(_processed=(scored, None), tabular=None, texts=(None, None), payloads=flows, fusion=None)
+    monkeypatch.setattr(models, "fitted", lambda *_: fitted)
+    monkeypatch.setattr(models.train, "pool_scores", lambda *_: None)
+    monkeypatch.setattr(models.train, "joint_scores", lambda flows, *_: flows)
+    monkeypatch.setattr(models, "fusion_proba", lambda _: F.lit(0.5))
+    matrix = models.score_matrix(spark, sf).collect()
+    assert len(matrix) == 12 and {r["split"] for r in matrix} == {"train", "val", "test"}
+    assert models.fusion_fit(spark, sf).count() == 12
+
+
 def test_gate_failure_raises(spark):
     from flowsift.plans.train import require_gate
 
