@@ -16,12 +16,43 @@ GIVEN = {
     ("f", "cyrillic"): "Анна Мария Ольга Елена Наталья Светлана Татьяна Ирина Екатерина Юлия".split(),
     ("m", "cyrillic"): "Иван Дмитрий Алексей Сергей Андрей Михаил Николай Владимир Павел Юрий".split(),
 }
+# Further given names by which names are found.
+FURTHER = {
+    ("f", "latin"): "Abigail Adriana Agnes Alexandra Alice Alicia Allison Amanda Amber Amelia Amy Ana Andrea Angela Anita Anke Ann Anna Anne Annette Antonia Ashley Astrid Audrey Aurélie Ava Barbara Beatriz Beatrice Bernadette Beth Betty Beverly Birgit Brenda Brittany Carla Carol Carolina Caroline Carolyn Catherine Cecilia Charlotte Chantal Cheryl Chloe Christina Christine Clara Clémence Cristina Cynthia Daniela Danielle Deborah Debra Denise Diana Diane Dolores Donna Doris Dorothy Eleanor Elena Elisabeth Elizabeth Ella Ellen Emily Emma Erika Esther Eva Evelyn Fatima Fiona Florence Frances Françoise Franziska Gabriela Gabriele Gisela Gloria Grace Greta Hannah Heather Heidi Helen Helena Helga Hélène Inés Irene Isabel Isabella Isabelle Jacqueline Jana Jane Janet Janice Jean Joan Joanna Johanna Josephine Joyce Juana Judith Judy Juliette Karin Katharina Katherine Kathleen Kathryn Katja Kelly Kimberly Kristin Laura Lauren Lea Léa Lena Leonie Lisa Lois Louise Lucy Luisa Madison Manon Manuela Marta Marie Maria María Marianne Marilyn Marion Marisol Martha Martina Megan Melanie Melissa Mercedes Mia Michelle Mónica Monika Monique Nadine Nancy Natalie Nathalie Nicole Nina Nora Olga Olivia Pamela Patricia Paula Petra Pilar Priya Rachel Raquel Rebecca Renate Rosa Rosemary Ruth Sabine Samantha Sandra Sara Sharon Shirley Silvia Simone Sofia Sofía Sonja Stefanie Stephanie Susanne Sylvie Tamara Teresa Theresa Ursula Ute Valérie Vanessa Vera Verónica Véronique Victoria Virginia Wendy Yvonne Zoe".split(),
+    ("m", "latin"): "Aaron Adam Adrian Ahmed Alain Alan Albert Alberto Alejandro Alex Alexander Alfred Ali Álvaro Andre André Andreas Andrew Andrés Anthony Antoine Antonio Arthur Axel Benjamin Benoît Bernard Bernd Björn Bob Bradley Brandon Brian Bruce Bruno Bryan Carl Charlie Chris Christian Christoph Christopher Claude Craig Daniel Dennis Detlef Diego Dieter Dirk Donald Douglas Dylan Eduardo Edward Emil Emmanuel Enrique Eric Erik Ernst Ethan Étienne Eugene Felix Fernando Florian Francisco Franck François Frank Franz Fred Frédéric Friedrich Fritz Gabriel Gary Georg George Gerald Gerhard Gilles Gonzalo Gregory Günter Guillaume Harald Harold Harry Heinrich Helmut Henri Henry Herbert Holger Horst Hugo Ian Ignacio Jack Jacob Jaime Jan Jason Javier Jeffrey Jens Jeremy Jerry Jesse Jesús Jim Joachim Joe Johann Johannes Jonas Jonathan Jordan Jorge Jose José Josef Joshua Juan Julian Julien Julio Justin Karl Keith Kenneth Kevin Kyle Larry Laurent Lars Lawrence Leon Leonardo Louis Luc Luca Lucas Luis Lukas Manuel Marc Marcel Marco Marcus Mario Mark Markus Martin Mathieu Matthew Matthias Max Maximilian Mehmet Mohamed Mohammed Moritz Nathan Nicholas Nicolas Noah Norbert Oliver Olivier Oscar Otto Pablo Pascal Patrick Paul Pedro Peter Philip Philipp Philippe Rafael Rainer Ralf Ralph Ramón Raymond René Ricardo Roberto Roger Roland Rolf Ronald Roy Rudolf Russell Ryan Samuel Santiago Scott Sean Sebastian Sergio Simon Stefan Stephan Stephen Steve Steven Sven Terry Thierry Theodor Thorsten Tim Timothy Tobias Tom Tyler Udo Uwe Victor Vincent Volker Walter Wayne Werner Wilhelm Wolfgang Xavier Yves Zachary".split(),
+    ("f", "cyrillic"): "Александра Алина Алла Анастасия Ангелина Валентина Валерия Вера Вероника Виктория Галина Дарья Диана Евгения Елизавета Жанна Зинаида Инна Ксения Лариса Лидия Любовь Людмила Марина Надежда Нина Оксана Полина Раиса Софья Тамара Ульяна".split(),
+    ("m", "cyrillic"): "Александр Анатолий Антон Артём Борис Вадим Валентин Валерий Василий Виктор Виталий Вячеслав Геннадий Георгий Григорий Даниил Денис Евгений Егор Игорь Илья Кирилл Константин Леонид Максим Никита Олег Пётр Роман Руслан Семён Степан Фёдор Юлиан Ярослав".split(),
+}
+KNOWN = {kind: [*names, *FURTHER[kind]] for kind, names in GIVEN.items()}
+# Titles before a name, and words that may stand before a family name.
+TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|г-н|г-жа|господин|госпожа"
+PARTICLES = "van|von|der|den|del|della|dos|de|di|da|du|la|le|zu"
 # Syllables and endings of surrogate family names.
 SYLLABLES = {"latin": "bar cor del fen gar hol kel lam mor nor pel quin ros sel tam vor".split(), "cyrillic": "бор вал гор дан зар кол лив мор нов пет рад сам тих фед чер яр".split()}
 ENDINGS = {("f", "latin"): "son", ("m", "latin"): "son", ("f", "cyrillic"): "ова", ("m", "cyrillic"): "ов"}
 
-_NAMES = "|".join(n for names in GIVEN.values() for n in names)
-NAME = rf"(?<!\p{{L}})(?:{_NAMES})\s+\p{{Lu}}\p{{Ll}}+(?!\p{{L}})"
+def _either(words: list[str]) -> str:
+    """A pattern of the words that shares their beginnings, so that a text is compared letter by letter."""
+    rest: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        rest.setdefault(word[:1], []).append(word[1:])
+    ends = rest.pop("", None) is not None
+    if not rest:
+        return ""
+    return f"(?:{'|'.join(c + _either(r) for c, r in rest.items())})" + "?" * ends
+
+
+_ONE = _either([n for names in KNOWN.values() for n in names]) + r"(?!\p{L})"
+_PART = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+)*"
+_TITLE = rf"(?:{TITLES})\.?\s+"
+#: A family name: one word, or several with hyphens.
+FAMILY = rf"(?<!\p{{L}}){_PART}(?:-{_PART})*(?!\p{{L}})"
+_LAST = rf"(?:(?:{PARTICLES})\s+){{0,3}}{FAMILY}"
+#: A known given name and a family name of one or two words; what follows a title; several initials and a family name.
+NAME = (
+    rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:(?:{_TITLE})?{_ONE}(?:-{_ONE})?(?:\s+(?:\p{{Lu}}\.|{_ONE}))*\s+{_LAST}(?: {FAMILY})?"
+    rf"|{_TITLE}(?:\p{{Lu}}\.\s*)*(?:{_PART}\s+)?{_LAST}|(?!U\.\s*[SKN]\.|E\.\s*U\.)(?:\p{{Lu}}\.\s*){{1,2}}\p{{Lu}}\.\s+{_LAST})"
+)
 #: What counts as an entity, in order of preference.
 PATTERNS = [
     r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
@@ -58,7 +89,7 @@ def entity_kind(mention: Column) -> Column:
         ("phone", mention.rlike(r"^[+(][\d ().\-]*$|^\d{3}[ .\-]\d{3}[ .\-]\d{4}$")),
         ("card", mention.rlike(r"^\d(?:[ \-]?\d){12,18}$")),
         ("iban", mention.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$")),
-        ("name", mention.rlike(r"^\p{L}+\s+\p{Lu}\p{Ll}+$")),
+        ("name", mention.rlike(r"^\p{L}[^\d@]*\s[^\d@]*$")),
     ]
     out = F.lit(None).cast("string")
     for kind, test in reversed(kinds):
@@ -66,13 +97,17 @@ def entity_kind(mention: Column) -> Column:
     return out
 
 
+def _untitled(mention: Column) -> Column:
+    return F.regexp_replace(mention, "^" + _TITLE, "")
+
+
 def canonical(kind: Column, mention: Column) -> Column:
     """What mentions of one entity have in common, whatever their punctuation or case."""
     return (
         F.when(kind.isin(*_DIGITS), F.regexp_replace(mention, r"\D", ""))
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
         .when(kind == "email", F.lower(mention))
-        .when(kind == "name", F.lower(F.regexp_replace(mention, r"\s+", " ")))
+        .when(kind == "name", F.lower(F.regexp_replace(F.regexp_replace(_untitled(mention), r"\s+\p{Lu}\.(?=\s)", ""), r"\s+", " ")))
         .otherwise(mention)
     )
 
@@ -128,8 +163,9 @@ def _longer(attempt: Column) -> Column:
 
 
 def _name(value: Column, stream: Column, attempt: Column) -> Column:
-    given = F.substring_index(value, " ", 1)
-    out = F.lit(None).cast("string")
+    given = F.substring_index(F.substring_index(value, " ", 1), "-", 1)
+    cyrillic, female = value.rlike("[а-яё]"), given.rlike("[aая]$")
+    out = F.lit(None).cast("struct<sure:int,name:string>")
     for (gender, script), names in GIVEN.items():
         own = [n.lower() for n in names]
         first = F.element_at(F.array(*map(F.lit, own)), _byte(stream, F.lit(0)) % len(own) + 1)
@@ -137,8 +173,11 @@ def _name(value: Column, stream: Column, attempt: Column) -> Column:
         # more tries, longer names: there is always a free one
         parts = F.transform(F.sequence(F.lit(1), F.lit(2) + _longer(attempt)), lambda i: F.element_at(syllables, _byte(stream, i) % len(SYLLABLES[script]) + 1))
         family = F.concat(F.array_join(parts, ""), F.lit(ENDINGS[gender, script]))
-        out = F.when(given.isin(own), F.concat(first, F.lit(" "), family)).otherwise(out)
-    return out
+        known = given.isin([n.lower() for n in KNOWN[gender, script]])
+        guessed = (cyrillic == F.lit(script == "cyrillic")) & (female == F.lit(gender == "f"))
+        drawn = F.when(value.contains(" "), F.concat(first, F.lit(" "), family)).otherwise(family)
+        out = F.when(known, F.struct(F.lit(1).alias("sure"), drawn.alias("name"))).when(guessed & out.isNull(), F.struct(F.lit(0).alias("sure"), drawn.alias("name"))).otherwise(out)
+    return out["name"]
 
 
 def candidate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
@@ -188,9 +227,8 @@ def rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["used"].alias("used"))),
         lambda s: F.concat(s["out"], F.substring(surrogate, s["used"] + 1, F.length(surrogate))),
     )
-    spaced = F.concat(
-        F.initcap(F.substring_index(surrogate, " ", 1)), F.regexp_extract(mention, r"\s+", 0), F.initcap(F.substring_index(surrogate, " ", -1))
-    )
+    first = F.when(surrogate.contains(" "), F.concat(F.initcap(F.substring_index(surrogate, " ", 1)), F.regexp_extract(_untitled(mention), r"\s+", 0))).otherwise("")
+    spaced = F.concat(F.regexp_extract(mention, "^" + _TITLE, 0), first, F.initcap(F.substring_index(surrogate, " ", -1)))
     return (
         F.when(kind.isin(*_DIGITS, "iban"), filled)
         .when(kind == "name", spaced)
@@ -221,11 +259,23 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"no free surrogates after {ATTEMPTS} tries")
 
 
+def _families(named: DataFrame) -> DataFrame:
+    """``digest, families``: of each text, the words of the family names found in it and what replaces them."""
+    words = F.regexp_extract_all(_untitled(F.col("mention")), F.lit(FAMILY), F.lit(0))
+    own = F.when((F.size(words) > 1) & F.col("value").contains(" ") & ~F.col("value").rlike(r"^\p{L}\."), F.slice(words, 2, 100)).otherwise(words)
+    shown = F.initcap(F.substring_index("surrogate", " ", -1))
+    # a full name settles what a family name after a title becomes
+    found = named.where(F.col("kind") == "name").select("digest", F.explode(own).alias("family"), F.struct(~F.col("value").contains(" "), shown.alias("shown")).alias("as"))
+    one = found.groupBy("digest", "family").agg(F.min("as")["shown"].alias("shown"))
+    return one.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("family", "shown"))).alias("families"))
+
+
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The documents with every entity in ``text`` replaced, and ``n_entities, entity_kinds`` added.
 
     Mentions of one entity get one surrogate in all documents, in the punctuation and case of each
-    mention; different entities get different ones. Surrogates depend on ``key`` and on which entities
+    mention; different entities get different ones. A family name that was found with a given name or
+    title is replaced wherever it stands alone in the same text. Surrogates depend on ``key`` and on which entities
     the corpus has, so reruns agree. A NULL or empty text and texts without entities stay as they are.
     Repeated rows are replaced alike; an empty table gives no rows. Columns of ``docs`` named like the
     added ones are overwritten, all others are kept.
@@ -246,13 +296,21 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     maps = named.groupBy("digest").agg(
         F.map_from_entries(F.collect_list(F.struct("mention", "shown"))).alias("shown"), F.array_sort(F.collect_set("kind")).alias("kinds")
     )
-    joined = found.join(maps, "digest")
+    joined = found.join(maps, "digest").join(_families(named), "digest", "left")
     between = F.split(content, ENTITY, -1)
-    pieces = F.zip_with(between, "mentions", lambda p, m: F.concat(p, F.coalesce(F.element_at(F.col("shown"), m), F.lit(""))))
+    families, title = F.col("families"), "^" + _TITLE
+    words = lambda p: F.regexp_extract_all(p, F.lit(FAMILY), F.lit(0))
+    swapped = lambda p: F.zip_with(F.split(p, FAMILY, -1), words(p), lambda g, w: F.concat(g, F.coalesce(families[w], w, F.lit(""))))
+    lone = lambda p: F.when(families.isNull() | p.isNull(), p).otherwise(F.array_join(swapped(p), ""))
+    # a title and a family name: that of the full name, if there is one
+    titled = lambda m: F.when(m.rlike(title + FAMILY + "$"), F.concat(F.regexp_extract(m, title, 0), families[_untitled(m)]))
+    pieces = F.zip_with(between, "mentions", lambda p, m: F.concat(lone(p), F.coalesce(titled(m), F.element_at(F.col("shown"), m), F.lit(""))))
     replaced = F.array_join(pieces, "")
+    alone = F.aggregate(between, F.lit(0), lambda n, p: n + F.size(F.filter(words(p), lambda w: families[w].isNotNull())))
+    number = F.size("mentions") + F.when(families.isNull(), 0).otherwise(alone)
     others = packed.where(~has)
     return others.select("row.*", F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("entity_kinds")).unionByName(
         joined.select(
-            *[replaced.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns], F.size("mentions").alias("n_entities"), F.col("kinds").alias("entity_kinds")
+            *[replaced.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns], number.alias("n_entities"), F.col("kinds").alias("entity_kinds")
         )
     )

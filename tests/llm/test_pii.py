@@ -136,3 +136,24 @@ def test_full_formats_get_longer(spark):
     assert all(re.fullmatch(r"[a-z]{2,}@[a-z]\.de", r.surrogate) for r in rows if r.kind == "email")
     mention = spark.createDataFrame([("12", "1-2", "345")], "value string, mention string, surrogate string")
     assert mention.select(pii.rendered(F.lit("phone"), F.col("mention"), F.col("surrogate"))).head()[0] == "3-45"
+
+
+def test_names_beyond_the_surrogate_list(spark):
+    texts = [
+        "Emily Carter wrote. Later Carter left.",
+        "by Daniel Smith and Peter Novak",
+        "Mary McDonald met Mary Smith-Jones",
+        "Dr. Novak and Mrs. Zyta Quell",
+        "J. R. Tolkman or Emily K. Carter",
+        "Peter Novak came; Dr. Novak spoke",
+        "the U. S. Army at plan B. We went",
+    ]
+    got = replaced(spark, texts)
+    for i, real in enumerate(["Emily Carter", "Daniel Smith Peter Novak", "McDonald Smith Jones", "Novak Zyta Quell", "Tolkman Emily Carter", "Peter Novak"]):
+        assert not any(word in got[i].text for word in real.split()), got[i].text
+        assert list(got[i].entity_kinds) == ["name"]
+    first, family = re.fullmatch(r"(\w+) (\w+) wrote. Later \w+ left.", got[0].text).groups()
+    assert got[0].text == f"{first} {family} wrote. Later {family} left." and got[0].n_entities == 2
+    assert got[4].text.endswith(f"{first} {family}")
+    assert re.fullmatch(r"\w+ (\w+) came; Dr\. \1 spoke", got[5].text)
+    assert got[6].text == texts[6] and got[6].n_entities == 0
