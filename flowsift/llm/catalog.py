@@ -12,6 +12,7 @@ from flowsift.llm.fingerprints import compare_with_edits
 from flowsift.llm.jaccard import join_similar
 from flowsift.llm.language import learn_and_identify
 from flowsift.llm.licenses import license_report
+from flowsift.llm.middles import fill_in_middle, restore_text
 from flowsift.llm.mixing import mix_sources
 from flowsift.llm.pii import replace_entities
 from flowsift.llm.quality import classify_quality
@@ -229,3 +230,31 @@ SURROGATE_KEY = "registered-query"
 def op10_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return replace_entities(docs, SURROGATE_KEY).withColumn("entity_kinds", F.array_join("entity_kinds", ","))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf, "documents"))
+    hashes = F.sha2("output", 256).alias("output_sha256"), F.sha2(restore_text("output", "form"), 256).alias("restored_sha256")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
+ORACLES["op13_fill_in_middle"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents
+), numbers AS (
+  SELECT *, [('0x' || substr(hex, 8 * i + 1, 8))::BIGINT FOR i IN [0, 1, 2, 3]] AS h FROM drawn
+), cut AS (
+  SELECT doc_id, text, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1, n - b) AS suffix FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
