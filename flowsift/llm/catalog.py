@@ -17,6 +17,7 @@ from flowsift.llm.mixing import mix_sources
 from flowsift.llm.pii import replace_entities
 from flowsift.llm.quality import classify_quality
 from flowsift.llm.substrings import remove_repeats
+from flowsift.llm.topk import top_inner_products
 from flowsift.llm.warc import archive_round_trip
 from flowsift.llm.words import held_out, spaced_count
 
@@ -258,3 +259,25 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGIN
        sha256(text) AS restored_sha256
 FROM parts
 """
+
+
+@query
+def op11_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return top_inner_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op11_exact_top_k"] = """
+WITH longest AS (
+  SELECT max(len(embedding)) AS n FROM embeddings
+), v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_resize(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)), (SELECT n FROM longest), 0::DOUBLE) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, v.vec_id, list_dot_product(q.c, v.c)::BIGINT AS score
+  FROM v q JOIN v ON q.r <> v.r WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
