@@ -18,6 +18,7 @@ from flowsift.llm.pii import replace_entities
 from flowsift.llm.quality import classify_quality
 from flowsift.llm.substrings import remove_repeats
 from flowsift.llm.topk import top_inner_products
+from flowsift.llm.tries import conversation_trie
 from flowsift.llm.warc import archive_round_trip
 from flowsift.llm.words import held_out, spaced_count
 
@@ -281,3 +282,46 @@ WITH longest AS (
 SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_trie(table(spark, sf, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = r"""
+WITH told AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+  SELECT conv_id, struct_pack(k := md5(length(role) || ':' || role || text), w := len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS pos
+  FROM told
+), own AS (
+  SELECT conv_id, list(t ORDER BY pos) AS ts,
+         -- CRC-32 of the decimal id, bit by bit
+         xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+             lambda crc, b: list_reduce([xor(crc, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda x, one: xor(x >> 1, 3988292384 * (x & one)))), 4294967295) % 4 AS h
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(list_slice(coalesce(f.ts, []), 1, o.h), list_slice(o.ts, o.h + 1, len(o.ts))) AS ts
+  FROM own o LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, ts, d, array_to_string(list_transform(list_slice(ts, 1, d), lambda t: t.k), '') AS node
+  FROM (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d > 0 THEN ts[d].w ELSE 0 END) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ts) = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, d
+), children AS (
+  SELECT substr(node, 1, 32 * (d - 1)) AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), sized AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (node)
+), above AS (
+  SELECT substr(node, 1, 32 * unnest(range(0, d + 1))) AS node, (n_children = 0)::INT AS leaf, (n_convs - 1) * words AS saved FROM sized
+), sums AS (
+  SELECT node, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY node
+)
+SELECT s.conv_id, s.d::BIGINT AS depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, s.ends_sha256
+FROM sized s JOIN sums USING (node) LEFT JOIN sized p ON s.d > 0 AND p.node = substr(s.node, 1, 32 * (s.d - 1))
+"""
