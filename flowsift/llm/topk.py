@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,9 +13,13 @@ from pyspark.sql.types import ArrayType, DoubleType, FloatType
 from flowsift.session import stage
 
 #: Rows of one block: at least, at most (its lists must fit a task), and blocks wanted in between.
-LEAST_ROWS, MOST_ROWS, BLOCKS = 4096, 1 << 19, 128
-#: Part of every list that is read before the first look at the bounds; later looks double it.
-FIRST_READ = 1 / 16
+LEAST_ROWS, MOST_ROWS, BLOCKS = 4096, 1 << 16, 128
+#: Bounds are looked at after these parts of all lists; the last look is at the whole.
+READS = 8, 2
+#: A query reads no further once this part of a block's rows is left.
+FEW = 32
+#: Bounds in memory at once.
+TOGETHER = 1 << 20
 #: Below this, sums of products are exact in double precision.
 EXACT = 2.0**53
 LONGEST = 2**63 - 1
@@ -29,73 +32,78 @@ class SortedLists:
 
     def __init__(self, values: np.ndarray, ids: np.ndarray, has_id: np.ndarray, rows: np.ndarray) -> None:
         self.values, self.ids, self.has_id, self.rows = values, ids, has_id, rows
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32, order="C")
-        self.sorted = np.take_along_axis(values.T, self.order, axis=1)
+        self.order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(values, self.order, axis=0)
         self.size = np.abs(values).max(axis=0, initial=0)
+        self._read: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def outsiders(self, query: np.ndarray, floor: float, k: int) -> tuple[np.ndarray, float]:
-        """``(rows that may be among the k best, most a row may be wrong)``: one sequential pass.
+    def read(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """What is known of every row after the first ``depth`` entries from both ends of all lists.
 
-        A list is read from its better end for the query. A row's lower bound takes the list's far end
-        where the row has not been met, its upper bound the component read last. ``floor`` is a score
-        that the k-th best is known to reach.
+        Least and greatest possible components, first for lists read from the top (positive weights), then
+        from the bottom (negative ones). A row that a list has not shown yet lies between the entry read
+        last and the far end of the list.
+        """
+        if depth not in self._read:
+            n, width = self.values.shape
+            near, far = np.empty((n, 2 * width)), np.empty((n, 2 * width))
+            ends = (slice(n - depth, n), n - depth, 0), (slice(0, depth), depth - 1, n - 1)
+            for half, (part, last, end) in enumerate(ends):
+                columns = slice(half * width, (half + 1) * width)
+                for out, unmet in ((near, last), (far, end)):
+                    out[:, columns] = self.sorted[unmet]
+                    np.put_along_axis(out[:, columns], self.order[part], self.sorted[part], axis=0)
+            self._read[depth] = far, near
+        return self._read[depth]
+
+    def candidates(self, queries: np.ndarray, floors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, bool]]:
+        """``(query, rows that may be among its k best, whether their scores need more than doubles)``.
+
+        All queries read the lists together. One leaves as soon as rows outside a small set cannot
+        qualify: their upper bounds stay below ``floors``, scores that the k-th best are known to reach,
+        or below the k-th lower bound.
         """
-        used = np.flatnonzero(query)
         n = len(self.rows)
-        slack = float(np.abs(query) @ self.size)
-        slack = 0.0 if slack < EXACT else slack * len(query) * 2.0**-50
-        if not len(used) or n <= k:
-            return np.arange(n), slack
-        weight, up = query[used], query[used] > 0
-        lists = self.sorted[used]
-        best = weight * np.where(up, lists[:, -1], lists[:, 0])
-        if best.sum() + slack < floor:
-            return np.zeros(0, np.int64), slack
-        worst = weight * np.where(up, lists[:, 0], lists[:, -1])
-        known, lower_gap = np.zeros(n), np.full(n, worst.sum())
-        met: list[np.ndarray] = []
-        read = 0
-        while True:
-            depth = min(n, max(2 * read, int(n * FIRST_READ), k))
-            spans = [slice(n - depth, n - read) if ascending else slice(read, depth) for ascending in up]
-            at = np.stack([self.order[j, s] for j, s in zip(used, spans)])
-            parts = np.stack([row[s] for row, s in zip(lists, spans)]) * weight[:, None]
-            flat = at.ravel()
-            known += np.bincount(flat, parts.ravel(), n)
-            lower_gap -= np.bincount(flat, np.repeat(worst, at.shape[1]), n)
-            met.append(at)
-            read = depth
-            if read == n:
-                return np.flatnonzero(known + slack >= self._kth(known, k, slack, floor)), slack
-            last = weight * np.where(up, lists[:, n - read], lists[:, read - 1])
-            bar = self._kth(known + lower_gap, k, slack, floor)
-            if last.sum() + slack >= bar:
-                continue  # a row that no list has shown yet may still qualify
-            upper = known + last.sum()
-            for part in met:
-                upper -= np.bincount(part.ravel(), np.repeat(last, part.shape[1]), n)
-            may = np.flatnonzero(upper + slack >= bar)
-            if len(may) <= max(4 * k, n // 32) or 2 * read >= n:
-                return may, slack
-
-    @staticmethod
-    def _kth(lower: np.ndarray, k: int, slack: float, floor: float) -> float:
-        return min(float(LONGEST), max(floor, float(np.partition(lower, -k)[-k]) - slack))
-
-    def best(self, query: np.ndarray, floor: float, k: int, own: int | None) -> tuple[np.ndarray, list[int]]:
-        """Rows and exact scores of the k best of this block that reach ``floor``, without row ``own``."""
-        may, slack = self.outsiders(query, floor, k + (own is not None))
-        if own is not None:
-            may = may[self.rows[may] != own]
-        if slack:
-            exact = [int(x) for x in query]
-            sums = [sum(int(c) * x for c, x in zip(self.values[i], exact)) for i in may]
-            scores = np.array([max(-LONGEST, min(LONGEST, s)) for s in sums], np.int64)
-        else:
-            scores = (self.values[may] @ query).astype(np.int64)
-        order = np.lexsort((self.rows[may], self.ids[may], ~self.has_id[may], -scores))[:k]
-        order = order[scores[order] >= floor]
-        return may[order], scores[order].tolist()
+        reach = np.abs(queries) @ self.size
+        slack = np.where(reach < EXACT, 0.0, reach * (queries.shape[1] * 2.0**-50))
+        signed = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1)
+        few = max(4 * k, n // FEW)
+        for start in range(0, len(queries), max(1, TOGETHER // n)):
+            left = np.arange(start, min(len(queries), start + max(1, TOGETHER // n)))
+            for part in (*READS, 1):
+                depth = max(1, n // part)
+                far, near = self.read(depth) if depth < n else (None, self.values)
+                asked = queries if depth == n else signed
+                upper = asked[left] @ near.T + slack[left, None]
+                bar = floors[left]
+                many = np.flatnonzero((upper >= bar[:, None]).sum(axis=1) > few)
+                if len(many) and n >= k:  # raise the bar by the k-th lower bound
+                    lower = upper[many] - 2 * slack[left[many], None] if depth == n else asked[left[many]] @ far.T - slack[left[many], None]
+                    bar[many] = np.maximum(bar[many], np.partition(lower, n - k, axis=1)[:, n - k])
+                may = upper >= np.minimum(bar, float(LONGEST))[:, None]
+                done = (may.sum(axis=1) <= few) | (depth == n)
+                for i in np.flatnonzero(done):
+                    yield int(left[i]), np.flatnonzero(may[i]), slack[left[i]] > 0
+                left = left[~done]
+                if not len(left):
+                    break
+
+    def best(self, queries: np.ndarray, floors: np.ndarray, k: int, own: np.ndarray) -> Iterator[tuple[int, np.ndarray, list[int]]]:
+        """Per query its rows and exact scores: the k best of this block that reach its floor.
+
+        ``own`` are row numbers that the queries themselves have here, or -1.
+        """
+        for q, may, beyond in self.candidates(queries, floors, k + 1):
+            may = may[self.rows[may] != own[q]]
+            if beyond:
+                exact = [int(x) for x in queries[q]]
+                sums = [sum(int(c) * x for c, x in zip(self.values[i], exact)) for i in may]
+                scores = np.array([max(-LONGEST, min(LONGEST, s)) for s in sums], np.int64)
+            else:
+                scores = (self.values[may] @ queries[q]).astype(np.int64)
+            order = np.lexsort((self.rows[may], self.ids[may], ~self.has_id[may], -scores))[:k]
+            order = order[scores[order] >= floors[q]]
+            yield q, may[order], scores[order].tolist()
 
 
 def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
@@ -128,12 +136,15 @@ def _search(k: int, width: int):
                     lists, rows = SortedLists(*map(np.concatenate, zip(*rows))), []
                 if lists is None:
                     continue
-                found: list[tuple] = []
-                for query, name, number, own, floor in zip(matrix, ids.to_pylist(), numbers, part.column("own").to_pylist(), part.column("floor").to_pylist()):
-                    at, scores = lists.best(query, -math.inf if floor is None or floor == -LONGEST else floor, k, number if own else None)
-                    found += [
-                        (number, name, int(lists.ids[i]) if lists.has_id[i] else None, int(lists.rows[i]), s) for i, s in zip(at, scores)
-                    ]
+                floors = part.column("floor").to_numpy(zero_copy_only=False).astype(np.float64)
+                floors[np.isnan(floors) | (floors <= -LONGEST)] = -np.inf
+                own = np.where(part.column("own").to_numpy(zero_copy_only=False), numbers, -1)
+                names = ids.to_pylist()
+                found = [
+                    (int(numbers[q]), names[q], int(lists.ids[i]) if lists.has_id[i] else None, int(lists.rows[i]), score)
+                    for q, at, scores in lists.best(matrix, floors, k, own)
+                    for i, score in zip(at, scores)
+                ]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["query_row", "query_id", "vec_id", "row", "score"])
 
@@ -158,8 +169,9 @@ def top_inner_products(
     same one in every use of the result. Queries with fewer candidates get them all.
 
     Rows are dealt by a hash into blocks of bounded size, which hold one ascending list a dimension. A
-    query reads the lists of a block from the better end and keeps bounds of every row's score. It stops
-    when no other row can reach the k-th lower bound; the scores of the rows left are then resolved.
+    query reads the lists of a block from the better end and keeps bounds of every row's score; queries
+    read together, the bounds of many are one matrix product. A query stops when no other row can reach
+    the k-th lower bound; the scores of the rows left are then resolved.
     Every query first searches the block it lies in. The k-th score found there is a proven floor for
     all other blocks, most of which end after a first part of their lists.
 

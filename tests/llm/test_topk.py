@@ -77,10 +77,14 @@ def test_lists_are_left_early():
     lists = SortedLists(values, np.arange(4000), np.ones(4000, bool), np.arange(4000))
     query = np.floor(256 * np.abs(rng.normal(size=16)))
     exact = np.sort(values @ query)[::-1]
-    may, _ = lists.outsiders(query, exact[4], 5)
-    assert 5 <= len(may) <= 400
-    assert len(lists.outsiders(query, exact[0] * 10, 5)[0]) == 0
-    at, scores = lists.best(query, -math.inf, 5, None)
+    looked = []
+    read = lists.read
+    lists.read = lambda depth: looked.append(depth) or read(depth)
+    floors = np.array([exact[4], exact[0] * 10])
+    may = {q: len(rows) for q, rows, _ in lists.candidates(np.stack([query, query]), floors, 5)}
+    assert 5 <= may[0] <= 4000 // topk.FEW and may[1] == 0
+    assert max(looked) <= 4000 // topk.READS[-1]
+    ((_, at, scores),) = lists.best(query[None], np.array([-math.inf]), 5, np.array([-1]))
     assert scores == exact[:5].astype(int).tolist()
 
 
