@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.catalog import query
 from flowsift.catalog.sql import commas, split_of, text, with_views
 from flowsift.functions.labels import binary_target
+from flowsift.models.stages import FlowPreprocessor
 from flowsift.operators import fitting
 from flowsift.operators.clean import inf_to_null
-from flowsift.plans.preprocess import preprocess_flows
+from flowsift.plans.preprocess import preprocess_flows, split_flows
 from flowsift.schema import FLOW_FEATURES
+from flowsift.session import scratch_dir
 from flowsift.sources import views
 from flowsift.sources.views import FLOW_COLS, FLOW_KEYS, WIDE_FROM
 
@@ -191,6 +194,22 @@ def preprocess_fit_transform(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*FLOW_KEYS, "label", "split", *[F.round(c, 4).alias(c) for c in FLOW_COLS])
 
 
+@query(
+    "preprocess_pipeline",
+    with_views(
+        _scaled("pfilled, pscales").replace(f"SELECT {KEYS}", f"SELECT {KEYS}, label, split"), "flows_dup", **_pipeline
+    ),
+)
+def preprocess_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The preprocessing as a pipeline stage: fitted on training rows, stored, loaded, applied to every split."""
+    parts = split_flows(views.flows_dup(spark, sf), FLOW_COLS, FLOW_KEYS, "label")
+    stages = [FlowPreprocessor(inputCols=FLOW_COLS, asFloat=False)]
+    path = scratch_dir(spark, "pipeline")
+    Pipeline(stages=stages).fit(parts.where(F.col("split") == "train")).write().save(path)
+    out = PipelineModel.load(path).transform(parts)
+    return out.select(*FLOW_KEYS, "label", "split", *[F.round(c, 4).alias(c) for c in FLOW_COLS])
+
+
 @query(
     "preprocess_flows",
     with_views(
