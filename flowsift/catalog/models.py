@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from flowsift.models.fusion import fusion_proba
 from flowsift.operators.clean import inf_to_null
 from flowsift.operators.evaluate import threshold_at_recall
 from flowsift.operators.fitting import Preprocessor, apply_imputer, contamination
+from flowsift.operators.neighbours import neighbour_graph, ranked_neighbours
+from flowsift.operators.sampling import kfold
 from flowsift.operators.smote import smote
 from flowsift.plans import train
 from flowsift.plans.leakage import compare_leakage
@@ -319,6 +321,27 @@ def smote_oversample(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "fold_neighbours",
+    with_views(
+        """SELECT fold, vec_id, neighbour, rank FROM (
+             SELECT f.fold, a.vec_id, b.vec_id AS neighbour,
+                    (row_number() OVER (PARTITION BY f.fold, a.vec_id ORDER BY round(list_distance(a.v, b.v), 9), b.vec_id))::INT AS rank
+             FROM folded a JOIN folded b ON a.vec_id <> b.vec_id JOIN (SELECT DISTINCT fold FROM folded) f ON a.fold <> f.fold AND b.fold <> f.fold
+           ) WHERE rank <= 5""",
+        "vectors",
+        folded=f"""SELECT vec_id, v, ((row_number() OVER (ORDER BY {draw_key(['vec_id'], SEED)}) - 1) % 5)::INT AS fold
+                   FROM vectors WHERE y = 1""",
+    ),
+)
+def fold_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest positive rows of every training set of a cross-validation, read from one graph."""
+    points = kfold(views.vectors(spark, sf).where("y = 1"), "y", ["vec_id"], 5, SEED)
+    graph = stage(neighbour_graph(points, "vec_id", "v", 5, "fold", 5), "fold-neighbours")
+    outside = [ranked_neighbours(graph, "vec_id", 5, i).withColumn("fold", F.lit(i)) for i in range(5)]
+    return reduce(DataFrame.unionByName, outside).select("fold", "vec_id", "neighbour", "rank")
+
+
 @query("leakage_compare")
 def leakage_compare(spark: SparkSession, sf: str) -> DataFrame:
     return compare_leakage(views.vectors(spark, sf), "vec_id", "v", "y", k=5, seed=SEED)

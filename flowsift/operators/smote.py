@@ -2,68 +2,21 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.functions.draws import draw_key, index_draw, unit_draw
+from flowsift.operators.neighbours import neighbour_graph, ranked_neighbours
 from flowsift.operators.ranking import ranked
 
-BLOCK_ROWS = 2048
-DISTANCE_DIGITS = 9
+MAX_NEIGHBOURS = 5
 
 
 def near_neighbours(
-    points: DataFrame, key: str, vector: str, k: int, block_rows: int = BLOCK_ROWS
+    points: DataFrame, key: str, vector: str, k: int, block_rows: int | None = None
 ) -> DataFrame:
-    """(key, neighbour, rank, distance): the k nearest other points, exact, ties by key.
-
-    Points are hashed into blocks of bounded size. A task compares one block with another by array
-    arithmetic and emits only the k best per point, so neither memory nor output grows with the
-    number of pairs. Blocks are hash-made: copies of one point spread over all of them.
-    """
-    total = points.count()
-    blocks = max(1, -(-total // block_rows))
-    block = F.pmod(F.xxhash64(F.col(key)), F.lit(blocks)).cast("int")
-    base = points.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), block.alias("b"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    # Either side meets every block of the other side once: (mine, theirs).
-    left = base.select("id", "v", F.col("b").alias("mine"), others.alias("theirs"))
-    right = base.select("id", "v", F.col("b").alias("theirs"), others.alias("mine"))
-
-    def best(_: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": [], "neighbour": [], "distance": []}).astype(
-            {"id": "int64", "neighbour": "int64", "distance": "float64"}
-        )
-        if a.empty or b.empty:
-            return empty
-        b = b.sort_values("id")
-        x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
-        ids, theirs = a["id"].to_numpy(), b["id"].to_numpy()
-        squares = np.zeros((len(x), len(y)))
-        for d in range(x.shape[1]):
-            squares += np.square(x[:, d, None] - y[None, :, d])
-        distance = np.round(np.sqrt(squares), DISTANCE_DIGITS)
-        distance[ids[:, None] == theirs[None, :]] = np.inf
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(x)), order.shape[1])
-        out = pd.DataFrame(
-            {"id": ids[rows], "neighbour": theirs[order.ravel()], "distance": distance[rows, order.ravel()]}
-        )
-        return out[np.isfinite(out["distance"])]
-
-    best_per_pair = (
-        left.groupBy("mine", "theirs")
-        .cogroup(right.groupBy("mine", "theirs"))
-        .applyInPandas(best, "id long, neighbour long, distance double")
-    )
-    order = Window.partitionBy("id").orderBy("distance", "neighbour")
-    return (
-        best_per_pair.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select(F.col("id").alias(key), "neighbour", "rank", "distance")
-    )
+    """(key, neighbour, rank, distance): the k nearest other points, exact, ties by key."""
+    return ranked_neighbours(neighbour_graph(points, key, vector, k, most_rows=block_rows), key, k)
 
 
 def smote(
@@ -72,13 +25,16 @@ def smote(
     vector: str,
     target: str,
     seed: int,
-    max_neighbours: int = 5,
-    block_rows: int = BLOCK_ROWS,
+    max_neighbours: int = MAX_NEIGHBOURS,
+    block_rows: int | None = None,
+    graph: DataFrame | None = None,
+    without: int | None = None,
 ) -> DataFrame:
     """Synthetic positive rows that make the classes equal in size.
 
     Columns: synthetic_id, base, neighbour, gap, vector. Every choice is a hash of the synthetic
-    row's number. Base rows and neighbours are found by evenly spread equi-joins.
+    row's number. Base rows and neighbours are found by evenly spread equi-joins. A ``graph`` of the
+    positive rows saves the search; ``without`` names the group of it that ``df`` leaves out.
     """
     sizes = df.agg(
         F.count_if(F.col(target) == 1).alias("p"), F.count_if(F.col(target) == 0).alias("n")
@@ -88,7 +44,10 @@ def smote(
     if positives < 2 or not missing:
         missing = 0
     k = max(1, min(max_neighbours, positives - 1))
-    near = near_neighbours(minority, key, vector, k, block_rows)
+    if graph is None:
+        near = near_neighbours(minority, key, vector, k, block_rows)
+    else:
+        near = ranked_neighbours(graph, key, k, without)
     numbered = ranked(
         minority.withColumn("__key", draw_key([key], seed)), [], "__key", "__number"
     ).select(F.col(key).alias("base"), F.col(vector).alias("__from"), "__number")
