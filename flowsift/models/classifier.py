@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from flowsift.functions.labels import attack_score, label_id, label_name, predicted_class
 from flowsift.models.persist import reloaded
 from flowsift.operators.fitting import class_weights
+from flowsift.operators.samples import stratified_sample
 from flowsift.schema import quoted
 
 
@@ -29,8 +30,9 @@ from flowsift.schema import quoted
 class TreeSettings:
     """Defaults of the boosted trees.
 
-    ``max_rows`` bounds the labelled rows of a fit, training and validation each: those of smallest
-    hash. None takes all rows.
+    ``max_rows`` bounds the labelled rows of a fit, training and validation each, to a sample in
+    proportion to the classes; a class keeps ``class_floor`` rows at least, if it has them. None takes
+    all rows.
     """
 
     max_depth: int = 6
@@ -42,13 +44,21 @@ class TreeSettings:
     trees: int = 60
     bins: int = 256
     max_rows: int | None = None
+    class_floor: int = 200
 
 
-def _bounded(rows: DataFrame, most: int | None) -> DataFrame:
-    if most is None:
-        return rows
-    named = [F.col(quoted(c)) for c in rows.columns]
-    return rows.withColumn("__order", F.xxhash64(*named)).orderBy("__order").limit(most).drop("__order")
+def _weighted(rows: DataFrame, label: str, settings: TreeSettings, seed: int, balance: bool) -> DataFrame:
+    """Rows, or a sample of them, with weights that sum to those of all rows in every class."""
+    if settings.max_rows is None:
+        return class_weights(rows, label) if balance else rows.withColumn("weight", F.lit(1.0))
+    sample, counts = stratified_sample(rows, label, settings.max_rows, settings.class_floor, seed, "weight")
+    if not balance:
+        return sample
+    total, classes = sum(counts.values()), len(counts)
+    share = F.lit(None).cast("double")
+    for c, n in counts.items():
+        share = F.when(F.col(quoted(label)).eqNullSafe(F.lit(c)), F.lit(total / (classes * n))).otherwise(share)
+    return sample.withColumn("weight", F.col("weight") * share)
 
 
 @dataclass(frozen=True)
@@ -76,13 +86,10 @@ class AttackClassifier:
         parallelism: int = 8,
     ) -> AttackClassifier:
         """Rows are weighted by class balance; validation rows stop the boosting early."""
-        train = _bounded(train.select(*features, label), settings.max_rows)
+        data = _weighted(train.select(*features, label), label, settings, seed, balance=True).withColumn("__val", F.lit(False))
         if val is not None:
-            val = _bounded(val.select(*features, label), settings.max_rows)
-        data = class_weights(train.select(*features, label), label).withColumn("__val", F.lit(False))
-        if val is not None:
-            held = val.select(*features, label).withColumns({"weight": F.lit(1.0), "__val": F.lit(True)})
-            data = data.unionByName(held)
+            held = _weighted(val.select(*features, label), label, settings, seed, balance=False)
+            data = data.unionByName(held.withColumn("__val", F.lit(True)))
         data = (
             VectorAssembler(inputCols=list(features), outputCol="__x")
             .transform(data.withColumn("__y", label_id(F.col(label)).cast("double")))

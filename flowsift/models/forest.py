@@ -11,9 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.functions.draws import draw_key, index_draw, unit_draw
 from flowsift.functions.numeric import threshold_flag
 from flowsift.operators.fitting import column_quantiles
+from flowsift.operators.samples import key_samples
 from flowsift.schema import quoted
 
 NODE_SCHEMA = (
@@ -73,41 +73,23 @@ class IsolationForest:
         max_samples: int = 256,
         seed: int = 0,
     ) -> IsolationForest:
-        """Grow every tree on its own hash-drawn subsample.
-
-        Each row makes a few keyed draws; a draw hits with a small probability and then names one
-        tree. Only hits are shuffled, a little more than a subsample per tree, and a tree keeps its
-        smallest hashes: an exact sample without replacement. Small tables send every row to
-        every tree.
-        """
+        """Grow every tree on the rows of smallest hash, which differ from tree to tree."""
         total = df.count()
         size = min(max_samples, total)
         limit = max(1, math.ceil(math.log2(max(size, 2))))
-        share = 1.6 * size / max(total, 1)
-        key = F.xxhash64(draw_key(keys, seed))
-        keyed = df.select(F.array(*[F.col(quoted(c)).cast("double") for c in features]).alias("x"), key.alias("k"))
-        if share > 0.25:
-            rows = keyed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        else:
-            draws = math.ceil(trees * share)
-            hit = trees * share / draws
-            each = keyed if draws == 1 else keyed.withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-            turn = F.lit(1) if draws == 1 else F.col("d")
-            rows = each.where(unit_draw([F.col("k"), turn], "hit") < hit).withColumn(
-                "tree", index_draw([F.col("k"), turn], F.lit(trees), "tree").cast("int")
-            )
-        rows = rows.select("x", "tree", F.xxhash64("k", "tree").alias("h"))
+        values = F.array(*[F.col(quoted(c)).cast("double") for c in features])
+        rows = key_samples(df, keys, values, trees, size, seed)
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-            tree = int(pdf["tree"].iloc[0])
-            pdf = pdf.drop_duplicates("h").nsmallest(size, "h")
+            tree = int(pdf["sample"].iloc[0])
+            pdf = pdf.sort_values("h").drop_duplicates("h")
             x = np.stack(pdf["x"].to_numpy())
             nodes = _grow(x, np.random.default_rng([seed, tree]), limit)
             out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left_node", "right_node", "path"])
             out.insert(0, "tree", tree)
             return out
 
-        grown = rows.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+        grown = rows.groupBy("sample").applyInPandas(grow, NODE_SCHEMA)
         nodes = grown.limit(trees * 2 * size).toPandas().sort_values(["tree", "node"], ignore_index=True)
         return cls(tuple(features), size, nodes)
 
