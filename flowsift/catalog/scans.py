@@ -66,6 +66,36 @@ def scan_csv_dir_union(spark: SparkSession, sf: str) -> DataFrame:
     return summary(scan.read_flows(spark, path, FLOW_COLS), "Label")
 
 
+_faults = """CASE o_key % 50 WHEN 0 THEN 'too few cells' WHEN 1 THEN 'too many cells' WHEN 2 THEN 'unclosed quote' ELSE 'read' END"""
+
+
+@query(
+    "scan_csv_rejects",
+    with_views(
+        f"""SELECT {_faults} AS outcome, count(*) AS n_rows, CASE WHEN outcome = 'read' THEN CAST(sum(port) AS BIGINT) END AS ports
+            FROM (SELECT {FLOW_KEYS[0]} AS o_key, port FROM flows) GROUP BY 1""",
+        "flows",
+    ),
+)
+def scan_csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows as lines of text, some cut short, some with a cell too many, some with an open quote."""
+    path = scratch_dir(spark, "scan")
+    wide, turn = views.flows(spark, sf), F.col(FLOW_KEYS[0]) % 50
+    names = [*FLOW_COLS, "label"]
+    cells = [F.col(c).cast("string") for c in names]
+    line = (
+        F.when(turn == 0, F.concat_ws(",", *cells[:-1]))
+        .when(turn == 1, F.concat_ws(",", *cells, F.lit("9")))
+        .when(turn == 2, F.concat_ws(",", *cells[:-1], F.concat(F.lit('"'), cells[-1])))
+        .otherwise(F.concat_ws(",", *cells))
+    )
+    wide.select(line.alias(",".join(names))).write.option("header", True).option("quote", "").option("sep", "\x01").csv(path)
+    flows, rejects = scan.read_flows_checked(spark, path, FLOW_COLS)
+    read = flows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("port").cast("bigint").alias("ports"))
+    bad = rejects.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("bigint").alias("ports"))
+    return read.select(F.lit("read").alias("outcome"), "n_rows", "ports").unionByName(bad)
+
+
 @query(
     "scan_payloads",
     with_views(

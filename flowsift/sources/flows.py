@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.functions.labels import normalise_label
@@ -45,12 +46,22 @@ def _read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Union of all CSV files; columns absent from a file become NULL.
 
-    Files are grouped by header, found in one distributed read of their first lines; then there is one
-    multi-file scan per distinct header, so thousands of files with one layout make a single scan.
+    There is one multi-file scan per distinct header, so thousands of files with one layout make a
+    single scan.
     """
-    files = list_files(spark, folder, "*.csv")
-    if not files:
-        raise FileNotFoundError(f"no CSV files in {folder}")
+    parts = [_read_csv(spark, paths) for _, paths in _layouts(spark, _csv_files(spark, folder))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+#: A quoted cell, or a part of one between doubled quotes; and a quote that opens a cell.
+QUOTED_PART, OPENING = r'(?<![^,"])"[^"]*+"', r'(?<![^,])"'
+
+
+def _layouts(spark: SparkSession, files: list[str]) -> list[tuple[str, list[str]]]:
+    """Headers and the files that have them, found in one distributed read of their first lines."""
     lines = spark.read.text(files).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
@@ -59,11 +70,57 @@ def _read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
     )
     headers = lines.where("start = 0 AND value != ''").groupBy("path").agg(F.min_by("value", "at").alias("header"))
     layouts = headers.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
-    parts = [_read_csv(spark, r["paths"]) for r in layouts.orderBy("header").collect()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    return [(r["header"], r["paths"]) for r in layouts.orderBy("header").collect()]
+
+
+def _csv_files(spark: SparkSession, folder: str) -> list[str]:
+    files = list_files(spark, folder, "*.csv")
+    if not files:
+        raise FileNotFoundError(f"no CSV files in {folder}")
+    return files
+
+
+def _fault(line: Column, cells: int) -> Column:
+    """Why a line does not fit a header of so many cells; NULL if it does."""
+    outside = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, QUOTED_PART, "")).otherwise(line)
+    found = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
+    return (
+        F.when(outside.rlike(OPENING), "unclosed quote")
+        .when(found < cells, "too few cells")
+        .when(found > cells, "too many cells")
+    )
+
+
+def read_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of a CSV file or a folder of them; every line is in one of the two.
+
+    A line with more or fewer cells than its header, or with a quote that is not closed on it, is
+    rejected: ``file, line, reason``. Nothing of it is cut off or filled up silently. Blank lines are no
+    lines, and lines equal to the header are headers wherever they stand.
+    """
+    files = list_files(spark, path, "*") if path.endswith(".csv") else _csv_files(spark, path)
+    rows, rejects = [], []
+    for header, paths in _layouts(spark, files):
+        names = _read_csv(spark, paths).columns
+        lines = spark.read.text(paths).withColumn("file", F.col("_metadata.file_path"))
+        lines = lines.where((F.col("value") != header) & (F.btrim("value") != ""))
+        lines = lines.withColumn("reason", _fault(F.col("value"), len(names)))
+        cells = ", ".join(f"c{i} string" for i in range(len(names)))
+        parsed = lines.where(F.col("reason").isNull()).select(F.from_csv("value", cells, {"escape": "\""}).alias("cells"))
+        rows.append(parsed.select("cells.*").toDF(*names))
+        rejects.append(lines.where(F.col("reason").isNotNull()).select("file", F.col("value").alias("line"), "reason"))
+    return (
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows),
+        reduce(DataFrame.unionByName, rejects),
+    )
+
+
+def read_flows_checked(
+    spark: SparkSession, path: str, features: Sequence[str] = FLOW_FEATURES
+) -> tuple[DataFrame, DataFrame]:
+    """Canonical flows of a CSV file or folder, and the lines that are none; see ``read_csv_checked``."""
+    rows, rejects = read_csv_checked(spark, path)
+    return canonical_flows(rows, features, path), rejects
 
 
 def canonical_flows(

@@ -140,3 +140,28 @@ def test_payload_pipeline(spark, sf):
     doubled = views.payloads(spark, sf).unionByName(views.payloads(spark, sf).withColumn("doc_id", F.col("doc_id") + 10**6))
     once, _ = preprocess_payloads(doubled, ["doc_id"], "payload", "label", drop_duplicates=True)
     assert once.count() == parts.select("payload", "label").distinct().count()
+
+
+def test_malformed_lines_are_rejected_with_their_reason(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x, y ,label\n1,2,Bot\n3,4\n5,6,DDoS,7\n8,"9,BENIGN\n\n10,"1,5",BENIGN\n11,,\n13,5" pipe,"a ""b"", c"\n14,2,"open\n')
+    (tmp_path / "b.csv").write_text("label,x\nBot,12\nBot\nx" + ",1" * 50_000 + "\n")
+    rows, rejects = scan.read_csv_checked(spark, str(tmp_path))
+    found = {(r["file"][-5:], r["line"][:12], r["reason"]) for r in rejects.collect()}
+    assert found == {
+        ("a.csv", "3,4", "too few cells"),
+        ("a.csv", "5,6,DDoS,7", "too many cells"),
+        ("a.csv", '8,"9,BENIGN', "unclosed quote"),
+        ("a.csv", '14,2,"open', "unclosed quote"),
+        ("b.csv", "Bot", "too few cells"),
+        ("b.csv", "x,1,1,1,1,1,", "too many cells"),
+    }
+    assert sorted((r["x"], r["y"] or "", r["label"] or "") for r in rows.collect()) == [("1", "2", "Bot"), ("10", "1,5", "BENIGN"), ("11", "", ""), ("12", "", "Bot"), ("13", '5" pipe', 'a "b", c')]
+    # the same lines, whichever columns are asked for
+    assert rows.select("x").count() == rows.count() == 5 and rejects.select("reason").count() == rejects.count() == 6
+
+
+def test_checked_flows_of_one_file(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [" x", "y ", "Label"], [[1, 2, "Bot"], [3, 4, "DDoS", 5], [6, "bad", "BENIGN"]])
+    flows, rejects = scan.read_flows_checked(spark, str(tmp_path / "a.csv"), ["x", "y"])
+    assert sorted(map(tuple, flows.collect())) == [(1.0, 2.0, "Botnet"), (6.0, None, "BENIGN")]
+    assert [r["reason"] for r in rejects.collect()] == ["too many cells"]
