@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.operators.fitting import column_quantiles
@@ -57,6 +59,47 @@ def latency_quantiles(df: DataFrame, value: str, probs: Sequence[float] = (0.5,
     )
 
 
+#: Magnitudes below this share the middle bucket of a sketch.
+SMALLEST = 1e-9
+
+
+def _gamma(error: float) -> float:
+    return (1.0 + error) / (1.0 - error)
+
+
+def sketch_bucket(value: Column, error: float) -> Column:
+    """Number of a value's logarithmic bucket; buckets ascend with values, 0 holds those next to zero.
+
+    All values of a bucket lie within the relative ``error`` of ``sketch_value``. NaN counts as infinite.
+    """
+    width, least = math.log(_gamma(error)), math.floor(math.log(SMALLEST) / math.log(_gamma(error)))
+    size = F.least(F.abs(value.cast("double")), F.lit(sys.float_info.max))
+    number = F.ceil(F.log(size) / F.lit(width)) - F.lit(least)
+    return F.when(size < SMALLEST, F.lit(0).cast("bigint")).when(value < 0, -number).otherwise(number)
+
+
+def sketch_value(bucket: Column, error: float) -> Column:
+    """The value that stands for a bucket, within the relative ``error`` of all its values."""
+    gamma, least = _gamma(error), math.floor(math.log(SMALLEST) / math.log(_gamma(error)))
+    size = F.lit(2.0 / (gamma + 1.0)) * F.pow(F.lit(gamma), F.abs(bucket) + least)
+    return F.when(bucket == 0, 0.0).when(bucket < 0, -size).otherwise(size)
+
+
+def sketch_quantile(counts: DataFrame, by: Sequence[str], q: float, error: float, out: str = "value") -> DataFrame:
+    """(by, n, out): the value at rank ``ceil(q * n)`` of each sketch ``(by, bucket, n)``.
+
+    It is off by the relative ``error`` at most (values next to zero count as zero). Sketches of several
+    sources are merged by adding up their counts.
+    """
+    merged = counts.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*by)
+    upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = merged.withColumns({"__upto": upto, "__n": F.sum("n").over(group)})
+    reached = ranked.where(F.col("__upto") >= F.greatest(F.ceil(F.col("__n") * F.lit(q)), F.lit(1)))
+    found = reached.groupBy(*by).agg(F.max("__n").alias("n"), F.min("bucket").alias("__bucket"))
+    return found.select(*by, "n", sketch_value(F.col("__bucket"), error).alias(out))
+
+
 def latency_check(df: DataFrame, value: str, budget: float, q: float = 0.99) -> DataFrame:
     return latency_quantiles(df, value, [q]).select(
         F.col("value").alias("p99"),

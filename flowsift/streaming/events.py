@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,21 +12,65 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from flowsift.operators.columns import is_valid_event
-from flowsift.operators.monitor import bucket_counts, event_counters, unpivot_buckets
+from flowsift.operators.monitor import bucket_counts, event_counters, sketch_bucket, unpivot_buckets
 from flowsift.plans.score import ScoringBundle
 from flowsift.session import scratch_dir
 
 
+#: State on local disk of the executors, with its changes in the checkpoint, instead of in their memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE_CLASS = "spark.sql.streaming.stateStore.providerClass"
+
+
 def read_stream(
-    spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet", files_per_batch: int = 64
+    spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet", files_per_batch: int | None = 64
 ) -> DataFrame:
-    """Parquet files arriving in a folder."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+    """Parquet files arriving in a folder. Without a limit, a batch takes all that have arrived."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
+
+
+class Arrivals:
+    """Rows that arrive in a folder by time, one part after another, each written by many tasks.
+
+    The first part is there at once. Iterating yields once for every part, when it has arrived. Rows
+    without a time come with the first part.
+    """
+
+    def __init__(self, rows: DataFrame, ts: str, parts: int, folder: str) -> None:
+        self.rows, self.parts, self.folder = rows, parts, folder
+        seconds = F.col(ts).cast("timestamp").cast("double")
+        low, high = rows.agg(F.min(seconds), F.max(seconds)).head()
+        share = (seconds - F.lit(low)) / F.lit(max((high or 0.0) - (low or 0.0), 1.0))
+        self._part = F.coalesce(F.least(F.floor(share * parts), F.lit(parts - 1)), F.lit(0))
+        self._write(0)
+
+    def _write(self, i: int) -> None:
+        self.rows.where(self._part == i).write.parquet(f"{self.folder}/part-{i}")
+
+    def __iter__(self) -> Iterator[int]:
+        yield 0
+        for i in range(1, self.parts):
+            self._write(i)
+            yield i
+
+    def stream(self) -> DataFrame:
+        return read_stream(self.rows.sparkSession, f"{self.folder}/*", self.rows.schema, files_per_batch=None)
+
+
+@contextmanager
+def state_store(spark: SparkSession, provider: str | None) -> Iterator[None]:
+    """Streams started inside keep their state in ``provider``; None leaves the session as it is."""
+    before = spark.conf.get(STORE_CLASS, None)
+    if provider is not None:
+        spark.conf.set(STORE_CLASS, provider)
+    try:
+        yield
+    finally:
+        if provider is not None:
+            spark.conf.unset(STORE_CLASS) if before is None else spark.conf.set(STORE_CLASS, before)
 
 
 def stream_score(events: DataFrame, bundle: ScoringBundle) -> DataFrame:
@@ -55,6 +101,20 @@ def stream_histogram(
     return unpivot_buckets(wide, ["window_start", "observations"], bounds)
 
 
+def stream_quantiles(
+    events: DataFrame, ts: str, value: str, window: str, delay: str, by: Sequence[str] = (), error: float = 0.01
+) -> DataFrame:
+    """Quantile sketch per tumbling window: counts of logarithmic buckets, see ``sketch_quantile``.
+
+    Counts merge by addition, so tasks, batches and restarts merge too. State is a row for each bucket
+    that a window has met, a bounded number, and goes when the watermark passes the window.
+    """
+    slot = F.window(ts, window)
+    bucket = sketch_bucket(F.col(value), error).alias("bucket")
+    counted = events.withWatermark(ts, delay).where(F.col(value).isNotNull()).groupBy(slot, *by, bucket)
+    return counted.agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("window_start"), *by, "bucket", "n")
+
+
 def stream_dedup(events: DataFrame, ts: str, keys: Sequence[str], delay: str) -> DataFrame:
     """First row per key; state is kept only as long as a copy may still arrive."""
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
@@ -84,13 +144,33 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_to_table(stream: DataFrame, purpose: str, mode: str = "append") -> DataFrame:
-    """Drain a stream into a table in the shared folder and read it back (with its batch number)."""
+@dataclass
+class Drained:
+    """What a stream wrote, and for every batch the state rows it held, removed and dropped as late."""
+
+    table: DataFrame
+    state: list[dict[str, int]] = field(default_factory=list)
+
+
+def drain(
+    stream: DataFrame, purpose: str, mode: str = "append", arrivals: Iterable[object] = (None,), provider: str | None = None
+) -> Drained:
+    """Run a stream into a table in the shared folder, once for each arrival, from its checkpoint on."""
     spark = stream.sparkSession
     root = scratch_dir(spark, purpose)
-    schema = stream.schema
-    run_available(stream, batch_writer(f"{root}/data"), mode, f"{root}/checkpoint")
-    return spark.read.schema(schema.add("batch", "long")).parquet(f"{root}/data")
+    states: list[dict[str, int]] = []
+    with state_store(spark, provider):
+        for _ in arrivals:
+            query = run_available(stream, batch_writer(f"{root}/data"), mode, f"{root}/checkpoint")
+            for progress in query.recentProgress:
+                for state in progress["stateOperators"]:
+                    states.append({k: int(state[k]) for k in ("numRowsTotal", "numRowsRemoved", "numRowsDroppedByWatermark")})
+    return Drained(spark.read.schema(stream.schema.add("batch", "long")).parquet(f"{root}/data"), states)
+
+
+def run_to_table(stream: DataFrame, purpose: str, mode: str = "append", arrivals: Iterable[object] = (None,)) -> DataFrame:
+    """Drain a stream into a table in the shared folder and read it back (with its batch number)."""
+    return drain(stream, purpose, mode, arrivals).table
 
 
 def latest_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,11 +195,14 @@ def quarantine_writer(valid_path: str, rejected_path: str) -> Callable[[DataFram
     return write
 
 
-def run_quarantine(events: DataFrame, purpose: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+def run_quarantine(
+    events: DataFrame, purpose: str = "quarantine", arrivals: Iterable[object] = (None,)
+) -> tuple[DataFrame, DataFrame]:
     """Drain a stream of events into a valid and a rejected table."""
     spark = events.sparkSession
     root = scratch_dir(spark, purpose)
     valid, rejected = f"{root}/valid", f"{root}/rejected"
     schema = events.schema
-    run_available(events, quarantine_writer(valid, rejected), "append", f"{root}/checkpoint")
+    for _ in arrivals:
+        run_available(events, quarantine_writer(valid, rejected), "append", f"{root}/checkpoint")
     return spark.read.schema(schema).parquet(valid), spark.read.schema(schema).parquet(rejected)

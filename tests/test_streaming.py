@@ -1,10 +1,11 @@
 import datetime as dt
+import math
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from flowsift.operators.monitor import event_counters
+from flowsift.operators.monitor import event_counters, sketch_bucket, sketch_quantile
 from flowsift.sources import views
 from flowsift.streaming import events as streams
 
@@ -74,3 +75,58 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     write(spark.range(5), 0)
     write(spark.range(5), 0)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_arrivals_come_in_order_and_whole(spark, sf, tmp_path):
+    events = views.table(spark, sf, "events").select("event_id", "ts")
+    feed = streams.Arrivals(events.unionByName(spark.createDataFrame([(-1, None)], events.schema)), "ts", 3, str(tmp_path / "in"))
+    before, ids = None, []
+    for i in feed:
+        part = spark.read.parquet(f"{feed.folder}/part-{i}")
+        low, high = part.agg(F.min("ts"), F.max("ts")).first()
+        assert before is None or before < low
+        before = high
+        ids += [r["event_id"] for r in part.collect()]
+    assert sorted(ids) == sorted([-1, *(r["event_id"] for r in events.collect())])
+
+
+def test_keys_are_evicted_from_a_store_on_disk(spark, tmp_path):
+    """One key an hour for 40 days: the state holds the keys of the delay and of one arrival, not all."""
+    rows = spark.range(40 * 24).select("id", F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000).alias("ts"))
+    feed = streams.Arrivals(rows, "ts", 8, str(tmp_path / "in"))
+    before = spark.conf.get(streams.STORE_CLASS)
+    drained = streams.drain(streams.stream_dedup(feed.stream(), "ts", ["id"], "1 day"), "t", arrivals=feed, provider=streams.ROCKSDB)
+    assert spark.conf.get(streams.STORE_CLASS) == before
+    assert drained.table.count() == 40 * 24
+    held = [s["numRowsTotal"] for s in drained.state]
+    assert sum(s["numRowsRemoved"] for s in drained.state) >= 30 * 24
+    assert max(held) <= (5 + 2) * 24 + 2
+
+
+@pytest.mark.parametrize("error", [0.01, 0.05])
+def test_sketch_is_within_its_error(spark, error):
+    rows = spark.range(20_000).select(
+        (F.col("id") % 3).alias("g"), (F.exp((F.xxhash64("id") % 1000) / 100.0) * F.when(F.col("id") % 7 == 0, -1).otherwise(1)).alias("v")
+    ).unionByName(spark.createDataFrame([(0, 0.0)] * 50 + [(5, 0.0), (6, 1e300), (7, 1e-9)], "g bigint, v double"))
+    counts = rows.groupBy("g", sketch_bucket(F.col("v"), error).alias("bucket")).agg(F.count("*").alias("n"))
+    merged = counts.withColumn("n", F.col("n") - 1).unionByName(counts.withColumn("n", F.lit(1).cast("bigint")))
+    for q in (0.0, 0.01, 0.5, 0.99, 1.0):
+        got = {r["g"]: (r["n"], r["value"]) for r in sketch_quantile(merged, ["g"], q, error).collect()}
+        for g in (0, 1, 2, 5, 6, 7):
+            values = sorted(r["v"] for r in rows.where(F.col("g") == g).collect())
+            exact = values[max(1, math.ceil(q * len(values))) - 1]
+            assert got[g][0] == len(values)
+            assert abs(got[g][1] - exact) <= error * abs(exact) + 1e-9
+
+
+def test_streamed_quantiles_equal_batch(spark, arrivals):
+    sketch = streams.stream_quantiles(read(spark, arrivals), "ts", "value", "1 day", "60 days", ["event_type"])
+    table = streams.run_to_table(sketch, "t", "update")
+    keys = ["window_start", "event_type"]
+    got = sketch_quantile(streams.latest_rows(table, [*keys, "bucket"]), keys, 0.99, 0.01)
+    slot = F.window("ts", "1 day")["start"].alias("window_start")
+    exact = arrivals[1].groupBy(slot, "event_type").agg(F.array_sort(F.collect_list("value")).alias("vs"))
+    exact = exact.withColumn("exact", F.get("vs", F.ceil(F.size("vs") * 0.99).cast("int") - 1))
+    both = got.join(exact, keys, "full")
+    assert both.count() > 50
+    assert both.where("value IS NULL OR exact IS NULL OR abs(value - exact) > 0.01 * exact + 1e-9").count() == 0
