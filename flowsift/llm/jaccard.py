@@ -304,11 +304,30 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
 
 
+def _spare(touched: DataFrame, members: DataFrame, labels: DataFrame, sizes: DataFrame, bands: Bands) -> DataFrame:
+    """``set_key, spare``: two sets of different components can only be linked if their spares add up to 0 or more.
+
+    Members that no set of another component has lie outside every common part. Linked sets differ in at
+    most (den - num) / (den + num) of their sizes, of which a set's own such members use up a part. Of the
+    sets of one component that share such a member, the first and last by name are credited with it.
+    """
+    held = members.join(touched, "set_key", "left_semi")
+    rows = _labelled(held, labels).select("set_key", "component", F.explode("members").alias("member"))
+    facts = [f(c).alias(n) for c, f, n in (("component", F.min, "low"), ("component", F.max, "high"), ("set_key", F.min, "a"), ("set_key", F.max, "b"))]
+    alone = rows.groupBy("member").agg(*facts).where("low = high").select(F.explode(F.array_distinct(F.array("a", "b"))).alias("set_key"))
+    counts = alone.groupBy("set_key").agg(F.count("*").alias("alone"))
+    known = sizes.join(touched, "set_key", "left_semi").join(counts, "set_key", "left")
+    spare = F.col("n_shingles") * (bands.den - bands.num) - F.coalesce("alone", F.lit(0)) * (bands.den + bands.num)
+    return stage(known.select("set_key", spare.alias("spare")), "jaccard-spare")
+
+
 def link_sets(docs: DataFrame, sets: DataFrame, bands: Bands, shingle: int, buckets: int) -> DataFrame:
     """Links ``a, b`` between set names, enough to give every component.
 
     All looked-up signatures first link their sets to the smallest set that has the signature. After
-    that, only pairs whose sets are still in different components are compared, each pair once.
+    that, only pairs whose sets are still in different components are compared, each pair once, and
+    only if what each has alone leaves room for a link: of texts that share a passage but have more of
+    their own, none meets another.
     """
     shared = stage(shared_signatures(docs, bands, shingle, buckets), "jaccard-shared")
     looked = stage(allocate(shared, sets, bands), "jaccard-allocated")
@@ -331,9 +350,13 @@ def link_sets(docs: DataFrame, sets: DataFrame, bands: Bands, shingle: int, buck
     # a signature whose sets are all in one component has nothing left to link
     several = others.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sig")
     open_ = looked.join(several, "sig", "left_semi")
-    inside = _labelled(open_, labels).withColumnRenamed("component", "own")
-    others = others.join(open_.select("sig").distinct(), "sig", "left_semi").withColumnRenamed("set_key", "other").withColumnRenamed("component", "foreign")
-    partners = inside.join(others, "sig").where("own != foreign")
+    others = others.join(open_.select("sig").distinct(), "sig", "left_semi")
+    touched = open_.select("set_key").union(others.select("set_key")).distinct()
+    spare = _spare(touched, members, labels, sizes, bands)
+    inside = _labelled(open_, labels).join(spare, "set_key").withColumnRenamed("component", "own")
+    others = others.join(spare, "set_key").toDF("other", "sig", "other_deleted", "foreign", "other_spare")
+    roomy, met = inside.where("spare >= 0").join(others, "sig"), inside.where("spare < 0").join(others.where("other_spare >= 0"), "sig")
+    partners = roomy.unionByName(met).where("own != foreign AND spare + other_spare >= 0")
     by_exact = F.col("by_exact") & ~F.col("other_deleted")
     by_upgrade = F.col("upgrade") & (F.col("deleted") != F.col("other_deleted"))
     second = fitting(partners.where(by_exact | by_upgrade).select("set_key", "other")).join(first, ["a", "b"], "left_anti")

@@ -120,3 +120,29 @@ def test_one_document_of_each_group_stays(spark):
     # the copies under 1, 2 and NULL are one group, as are 7 and 8; texts without words all stay
     assert rows == sorted([(1, "the cat"), (2, "another"), (None, ""), (3, ""), (4, ""), (5, " \t\n "), (6, "12 34 %"), (7, "w0x0 w1"), (9, "Größe u"), (10, "x")], key=repr)
     assert jaccard.one_per_group(no_docs(spark)).count() == 0
+
+
+def compared(spark, monkeypatch, texts):
+    """Pairs that the second phase compares."""
+    seen, verify = [], jaccard._verify
+    monkeypatch.setattr(jaccard, "_verify", lambda pairs, *more: seen.append(pairs.count()) or verify(pairs, *more))
+    check(spark, texts)
+    monkeypatch.setattr(jaccard, "_verify", verify)
+    return seen[1]
+
+
+def test_unlinked_texts_around_one_passage_do_not_meet(spark, monkeypatch):
+    """120 shared words and 45 of their own: every signature of the passage is shared by all."""
+    passage = [f"p{i}" for i in range(120)]
+    texts = [" ".join(passage + [f"u{n}x{i}" for i in range(45)]) for n in range(200)]
+    assert compared(spark, monkeypatch, texts) == 0
+
+
+def test_linked_and_unlinked_texts_around_one_passage(spark, monkeypatch):
+    """Pairs of near copies in the family, texts with little of their own, and chains through them."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(120)]
+    texts = [" ".join(passage + [f"u{n}x{i}" for i in range(rng.choice([2, 10, 17, 18, 19, 20, 22, 30, 45]))]) for n in range(60)]
+    texts += [" ".join(edited(rng, t.split(), rng.randint(1, 3))) for t in texts]
+    few = compared(spark, monkeypatch, texts)
+    assert few < len(texts) * (len(texts) - 1) / 2
