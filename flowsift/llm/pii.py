@@ -43,19 +43,21 @@ def _either(words: list[str]) -> str:
 
 
 _ONE = _either([n for names in KNOWN.values() for n in names]) + r"(?!\p{L})"
-_PART = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+)*"
+# Repeated groups are possessive or bounded: others cost the JVM a stack frame for each repetition.
+_PART = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}++(?:\p{Lu}\p{Ll}++)*+"
 _TITLE = rf"(?:{TITLES})\.?\s+"
 #: A family name: one word, or several with hyphens.
-FAMILY = rf"(?<!\p{{L}}){_PART}(?:-{_PART})*(?!\p{{L}})"
+FAMILY = rf"(?<!\p{{L}}){_PART}(?!\p{{L}})(?:-{_PART}(?!\p{{L}}))*+"
 _LAST = rf"(?:(?:{PARTICLES})\s+){{0,3}}{FAMILY}"
 #: A known given name and a family name of one or two words; what follows a title; several initials and a family name.
 NAME = (
-    rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:(?:{_TITLE})?{_ONE}(?:-{_ONE})?(?:\s+(?:\p{{Lu}}\.|{_ONE}))*\s+{_LAST}(?: {FAMILY})?"
-    rf"|{_TITLE}(?:\p{{Lu}}\.\s*)*(?:{_PART}\s+)?{_LAST}|(?!U\.\s*[SKN]\.|E\.\s*U\.)(?:\p{{Lu}}\.\s*){{1,2}}\p{{Lu}}\.\s+{_LAST})"
+    rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:(?:{_TITLE})?{_ONE}(?:-{_ONE})?(?:\s+(?:\p{{Lu}}\.|{_ONE})){{0,20}}\s+{_LAST}(?: {FAMILY})?"
+    rf"|{_TITLE}(?:\p{{Lu}}\.\s*){{0,20}}(?:{_PART}\s+)?{_LAST}|(?!U\.\s*[SKN]\.|E\.\s*U\.)(?:\p{{Lu}}\.\s*){{1,2}}\p{{Lu}}\.\s+{_LAST})"
 )
 #: What counts as an entity, in order of preference.
 PATTERNS = [
-    r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
+    # from the start of an unbroken run, so that a long one is read once; a domain has 127 labels at most
+    r"(?:\G|(?<![\p{L}\p{N}._%+\-]))[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+){0,126}\.\p{L}{2,}",
     r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Z])",
     r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\x22']?)(?=[_\-./+]*[A-Za-z0-9])[A-Za-z0-9_\-./+]{6,}",
     r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
@@ -118,7 +120,7 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _characters(value: Column) -> Column:
-    return _bound(value, lambda v: F.when(F.length(v) > 0, F.transform(F.sequence(F.lit(1), F.length(v)), lambda i: F.substring(v, i, F.lit(1)))).otherwise(F.array().cast("array<string>")))
+    return F.filter(F.split(value, ""), lambda c: c != "")
 
 
 def _byte(stream: Column, at: Column) -> Column:
@@ -277,7 +279,9 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     mention; different entities get different ones. A family name that was found with a given name or
     title is replaced wherever it stands alone in the same text. Surrogates depend on ``key`` and on which entities
     the corpus has, so reruns agree. A NULL or empty text and texts without entities stay as they are.
-    Repeated rows are replaced alike; an empty table gives no rows. Columns of ``docs`` named like the
+    Repeated rows are replaced alike; an empty table gives no rows. Very long texts are searched whole; a
+    domain of more than 127 labels, or more than 20 initials and given names before a family name, make
+    no entity. Columns of ``docs`` named like the
     added ones are overwritten, all others are kept.
 
     Only documents with entities are shuffled, by a digest of their text; equal texts share one map.

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,45 @@ def test_names_beyond_the_surrogate_list(spark):
     assert got[4].text.endswith(f"{first} {family}")
     assert re.fullmatch(r"\w+ (\w+) came; Dr\. \1 spoke", got[5].text)
     assert got[6].text == texts[6] and got[6].n_entities == 0
+
+
+@pytest.mark.parametrize("n", [20_000])
+def test_long_repetitions_do_not_crash(spark, n):
+    texts = [
+        "x@" + "b." * n + "de",
+        "Mary " + "A. " * n + "Stone",
+        "Mary Stone" + "-Stone" * n,
+        "Mary " + "Ab" * n,
+        "Dr. " + "A." * n + " Stone",
+        "Mary" + " Mary" * n + " Stone",
+        "a." * n + "@b.de",
+        "x@y.de " * n,
+        "Mary " + " " * n + "Stone",
+        "1 " * n + "-" * n,
+        "password=" + "aB3" * n,
+    ]
+    got = replaced(spark, texts)
+    assert got[6].n_entities == 1 and got[6].text.endswith(".de") and len(got[6].text) == len(texts[6])
+    assert got[7].n_entities == n and "x@y.de" not in got[7].text
+    assert got[10].n_entities == 1 and got[10].text != texts[10] and len(got[10].text) == len(texts[10])
+    assert "Stone-Stone" not in got[2].text
+
+
+def test_unbroken_words_cost_their_length(spark):
+    word = "abcdefghij" * 100_000
+    texts = [word, word.upper(), "Mary " + word.capitalize(), word + "@b.de", "1a" * 500_000, "é" * 1_000_000]
+    began = time.time()
+    got = replaced(spark, texts)
+    assert time.time() - began < 60
+    assert [got[i].n_entities for i in range(6)] == [0, 0, 1, 1, 0, 0]
+
+
+def test_mail_addresses_as_plain_python_finds_them(spark):
+    """The anchored pattern finds what the plain one does."""
+    plain = re.compile(r"[a-z0-9._%+\-]+@[a-z0-9\-]+(?:\.[a-z0-9\-]+)*\.[a-z]{2,}")
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["a", "b", "1", ".", "@", "de", "co", " ", ",", "a@b.de", "%"]) for _ in range(30)) for _ in range(300)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = frame.select("t", F.regexp_extract_all("t", F.lit(pii.PATTERNS[0]), F.lit(0)).alias("found")).collect()
+    assert all(list(r.found) == plain.findall(r.t) for r in got)
+    assert sum(len(r.found) for r in got) > 300
