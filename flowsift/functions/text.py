@@ -41,7 +41,8 @@ def char_ngrams(text: Column, low: int = 1, high: int = 3) -> Column:
     A padded word shorter than n is emitted once, and the larger n are skipped for it. Words are
     put on lines of their own, so one pattern per n finds all grams without crossing words.
     """
-    trimmed = F.regexp_replace(F.lower(text), rf"^{SPACE_PATTERN}|{SPACE_PATTERN}$", "")
+    # only from the start of a run, else a long one in the middle is read anew from each of its spaces
+    trimmed = F.regexp_replace(F.lower(text), rf"^{SPACE_PATTERN}|(?<![\s\p{{Z}}]){SPACE_PATTERN}+$", "")
     lines = F.concat(F.lit(" "), F.regexp_replace(trimmed, SPACE_PATTERN, " \n "), F.lit(" "))
     grams = [_all_matches(lines, rf"(?=([^\n]{{{n}}}))[^\n]", 1) for n in range(low, high + 1)]
     if low > 3:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowsift.functions.text import char_ngrams, tokens
 from flowsift.operators.joins import attach, spread
+from flowsift.session import stage
 
 # Special tokens and their ids.
 PAD_ID = 0
@@ -99,8 +100,8 @@ def tfidf(
 ) -> DataFrame:
     """(key, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), each text scaled to unit length.
 
-    Texts are partitioned by key before the n-grams are made, so counting per text and the
-    normalisation reuse that partitioning and only (term, text) counts are shuffled.
+    Texts are partitioned by key before the n-grams are made, so they are counted where they are made.
+    The counts are written once; document frequencies and weights read them.
     """
     n = df.count()
     grams = F.explode(char_ngrams(F.coalesce(F.col(text), F.lit("")), low, high))
@@ -110,6 +111,7 @@ def tfidf(
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
+    counts = stage(counts, "term-counts")
     idf = (
         counts.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))

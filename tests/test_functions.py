@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +119,12 @@ def test_text_ngrams_keep_order_and_code_points(spark):
 )
 def test_signatures(spark, payload, expected):
     assert one(spark, text.signatures(F.lit(payload).cast("string"))) == expected
+
+
+def test_char_ngrams_of_many_spaces(spark):
+    """A run of spaces costs its length, wherever it stands."""
+    rows = spark.createDataFrame([("a" + " " * 100_000 + "b",), (" " * 100_000 + "a b" + " " * 100_000,), (" " * 100_000,)], "t string")
+    began = time.time()
+    got = [sorted(r[0]) for r in rows.select(text.char_ngrams(F.col("t"), 2, 2)).collect()]
+    assert got == [[" a", " b", "a ", "b "]] * 2 + [[]]
+    assert time.time() - began < 30
