@@ -1,25 +1,30 @@
-"""Payload classifiers: n-gram baseline and order-aware sequence model."""
+"""Payload classifiers: n-gram baseline and sequence model."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.functions.text import char_ngrams, text_ngrams
+from flowsift.functions.text import char_ngrams
 from flowsift.models.persist import reloaded
+from flowsift.models.sequence import SwitchingChain
 from flowsift.operators.evaluate import threshold_at_recall
 from flowsift.operators.fitting import class_weights
+from flowsift.session import stage
+from flowsift.sources.tables import write_table
 
-# Hashed terms; the driver holds one weight for each, whatever the corpus.
-TERM_WIDTH = 1 << 20
+# Terms of the vocabulary at most, the most frequent first; the driver holds one weight for each.
+TERMS = 1 << 24
+# Penalty of the log odds' two weights, which labels that they part cleanly would leave without an end.
+RIDGE = 1e-3
 
 
 def _logistic(weight: str, iterations: int, ridge: float = 0.0) -> LogisticRegression:
@@ -49,28 +54,28 @@ class TextBaseline:
         label: str,
         min_df: int = 2,
         iterations: int = 100,
-        width: int = TERM_WIDTH,
+        terms: int = TERMS,
+        tolerance: float = 1e-6,
     ) -> TextBaseline:
-        """Terms are hashed to ``width`` numbers; those in fewer than ``min_df`` texts weigh nothing."""
+        """Every n-gram of at least ``min_df`` texts is a term with a weight of its own.
+
+        Rows labelled neither 0 nor 1 are left out.
+        """
+        train = train.where(F.col(label).cast("double").isin(0.0, 1.0))
         data = class_weights(train.select(text, label), label).withColumn("__y", F.col(label).cast("double"))
-        hashed = HashingTF(inputCol="__terms", outputCol="__tf", numFeatures=width)
-        data = hashed.transform(_with_grams(data, text)).select("__tf", "__y", "weight").persist()
-        try:
-            idf = IDF(inputCol="__tf", outputCol="__x", minDocFreq=min_df).fit(data)
-            # MLlib's idf lacks the +1 of the smooth form, so the weights are rebuilt from it.
-            smooth = np.asarray(idf.idf.toArray()) + (np.asarray(idf.docFreq) >= min_df)
-            weigh = ElementwiseProduct(inputCol="__tf", outputCol="__x", scalingVec=Vectors.dense(smooth))
-            unit = Normalizer(inputCol="__x", outputCol="__v", p=2.0)
-            vectors = unit.transform(weigh.transform(data)).select("__v", "__y", "weight").persist()
-            try:
-                whole = vectors.agg(F.sum("weight")).head()[0] or 1.0
-                model = _logistic("weight", iterations, 1.0 / whole).fit(vectors)
-            finally:
-                vectors.unpersist()
-            model = reloaded(model, train.sparkSession)
-        finally:
-            data.unpersist()
-        return cls(PipelineModel([hashed, weigh, unit, model]), text)
+        # written once: vocabulary, document frequencies and every step of the fit read it
+        data = stage(_with_grams(data, text).select("__terms", "__y", "weight"), "baseline-terms")
+        counted = CountVectorizer(inputCol="__terms", outputCol="__tf", minDF=float(min_df), vocabSize=terms).fit(data)
+        counts = counted.transform(data).select("__tf", "__y", "weight")
+        idf = IDF(inputCol="__tf", outputCol="__x").fit(counts)
+        # MLlib's idf lacks the +1 of the smooth form
+        smooth = np.asarray(idf.idf.toArray()) + 1.0
+        weigh = ElementwiseProduct(inputCol="__tf", outputCol="__x", scalingVec=Vectors.dense(smooth))
+        unit = Normalizer(inputCol="__x", outputCol="__v", p=2.0)
+        vectors = stage(unit.transform(weigh.transform(counts)).select("__v", "__y", "weight"), "baseline-vectors")
+        whole = vectors.agg(F.sum("weight")).head()[0] or 1.0
+        model = _logistic("weight", iterations, 1.0 / whole).setTol(tolerance).fit(vectors)
+        return cls(PipelineModel([counted, weigh, unit, reloaded(model, train.sparkSession)]), text)
 
     def score(self, df: DataFrame, out: str = "baseline_proba") -> DataFrame:
         keep = df.columns
@@ -83,59 +88,53 @@ def _with_grams(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("__terms", char_ngrams(F.coalesce(F.col(text), F.lit("")), 1, 3))
 
 
-def sequence_terms(text: Column, low: int = 2, high: int = 5, placed: int = 3) -> Column:
-    """Character n-grams over the whole text; those of size ``placed`` also with their position.
-
-    Longer n-grams carry local order. Positions are powers of two, so a text of any length yields
-    a bounded number of them.
-    """
-    body = F.lower(F.coalesce(text, F.lit("")))
-    grams = [text_ngrams(body, n) for n in range(low, high + 1)]
-    where = F.transform(
-        text_ngrams(body, placed),
-        lambda g, i: F.concat_ws("@", F.floor(F.log2(i + 1)).cast("string"), g),
-    )
-    return F.concat(*grams, where)
-
-
 @dataclass(frozen=True)
 class TextSequence:
-    """Order-aware payload model: hashed positional n-grams, class-weighted logistic regression."""
+    """Payload model over the order of characters: a switching Markov chain, its log odds as a probability."""
 
+    chain: SwitchingChain
     model: LogisticRegressionModel
     text: str
-    width: int
     threshold: float = 0.5
 
     @staticmethod
-    def _vectors(df: DataFrame, text: str, width: int) -> DataFrame:
-        hashed = HashingTF(inputCol="__terms", outputCol="__h", numFeatures=width, binary=True)
-        unit = Normalizer(inputCol="__h", outputCol="__v", p=2.0)
-        return unit.transform(hashed.transform(df.withColumn("__terms", sequence_terms(F.col(text)))))
+    def _vectors(df: DataFrame, chain: SwitchingChain, text: str) -> DataFrame:
+        return df.withColumn("__v", array_to_vector(chain.log_odds(df.sparkSession, F.col(text))))
 
     @classmethod
     def fit(
-        cls, train: DataFrame, text: str, label: str, width: int = 1 << 16, iterations: int = 50
+        cls, train: DataFrame, text: str, label: str, rounds: int = 3, iterations: int = 50, listed: int = 36
     ) -> TextSequence:
-        """Positive rows weigh negatives / positives."""
+        """Positive rows weigh negatives / positives; rows labelled neither 0 nor 1 are left out."""
         y = F.col(label).cast("double")
+        train = train.where(y.isin(0.0, 1.0))
         sizes = train.agg(F.count_if(y == 1).alias("p"), F.count_if(y == 0).alias("n")).first()
         weight = F.when(y == 1, F.lit(sizes["n"] / max(sizes["p"], 1))).otherwise(F.lit(1.0))
-        data = train.select(text, y.alias("__y"), weight.alias("weight"))
-        data = cls._vectors(data, text, width).select("__v", "__y", "weight").persist()
-        try:
-            model = reloaded(_logistic("weight", iterations).fit(data), train.sparkSession)
-        finally:
-            data.unpersist()
-        return cls(model, text, width)
+        chain = SwitchingChain.fit(train, text, label, listed, rounds)
+        data = cls._vectors(train.select(text, y.alias("__y"), weight.alias("weight")), chain, text)
+        data = stage(data.select("__v", "__y", "weight"), "sequence-odds")
+        model = reloaded(_logistic("weight", iterations, RIDGE).fit(data), train.sparkSession)
+        return cls(chain, model, text)
 
     def score(self, df: DataFrame, out: str = "text_proba") -> DataFrame:
         keep = df.columns
-        scored = self.model.transform(self._vectors(df, self.text, self.width))
+        scored = self.model.transform(self._vectors(df, self.chain, self.text))
         return scored.select(*keep, vector_to_array("__proba")[1].alias(out))
 
     def with_threshold(self, val: DataFrame, label: str, target_recall: float) -> TextSequence:
         """Operating threshold chosen on validation rows for the target recall."""
-        chosen = threshold_at_recall(self.score(val, "__s"), label, "__s", target_recall).first()
-        limit = float(chosen["threshold"]) if chosen else 0.5
-        return TextSequence(self.model, self.text, self.width, limit)
+        scores = stage(self.score(val, "__s").select(label, "__s"), "sequence-scores")
+        chosen = threshold_at_recall(scores, label, "__s", target_recall).first()
+        return replace(self, threshold=float(chosen["threshold"]) if chosen else 0.5)
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        write_table(self.chain.to_table(spark), f"{path}/chain")
+        self.model.write().overwrite().save(f"{path}/odds")
+        write_table(spark.createDataFrame([(self.text, self.threshold)], "text string, threshold double"), f"{path}/meta")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TextSequence:
+        meta = spark.read.parquet(f"{path}/meta").first()
+        chain = SwitchingChain.from_table(spark.read.parquet(f"{path}/chain"))
+        return cls(chain, LogisticRegressionModel.load(f"{path}/odds"), meta["text"], meta["threshold"])

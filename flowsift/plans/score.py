@@ -87,9 +87,7 @@ class ScoringBundle:
         save_params(self.pre, spark, f"{path}/params")
         write_table(self.forest.to_table(spark), f"{path}/forest")
         self.classifier.save(spark, f"{path}/classifier")
-        self.text.model.write().overwrite().save(f"{path}/text")
-        meta = [(self.text.text, self.text.width, self.text.threshold)]
-        write_table(spark.createDataFrame(meta, "text string, width int, threshold double"), f"{path}/text_meta")
+        self.text.save(spark, f"{path}/text")
         write_table(weights_table(self.fusion, spark), f"{path}/fusion")
         return path
 
@@ -97,16 +95,11 @@ class ScoringBundle:
     def load(
         cls, spark: SparkSession, path: str, settings: RouteSettings = RouteSettings()
     ) -> ScoringBundle:
-        from pyspark.ml.classification import LogisticRegressionModel
-
-        meta = spark.read.parquet(f"{path}/text_meta").first()
         return cls(
             load_params(spark, f"{path}/params"),
             IsolationForest.from_table(spark.read.parquet(f"{path}/forest")),
             AttackClassifier.load(spark, f"{path}/classifier"),
-            TextSequence(
-                LogisticRegressionModel.load(f"{path}/text"), meta["text"], meta["width"], meta["threshold"]
-            ),
+            TextSequence.load(spark, f"{path}/text"),
             weights_from_table(spark.read.parquet(f"{path}/fusion")),
             settings,
         )

@@ -124,7 +124,7 @@ def train_text(
     payloads: DataFrame, text: str, label: str, target_recall: float = 0.80, iterations: int = 50
 ) -> tuple[TextSequence, TextBaseline]:
     train = spread(part(payloads, "train").select(text, label), text)
-    sequence = TextSequence.fit(train, text, label, iterations=iterations)
+    sequence = TextSequence.fit(train, text, label)
     sequence = sequence.with_threshold(spread(part(payloads, "val").select(text, label), text), label, target_recall)
     return sequence, TextBaseline.fit(train, text, label, iterations=iterations)
 

@@ -109,7 +109,7 @@ def commands(spark):
 
 def test_text_models(commands):
     train, test = commands.where("id < 160"), commands.where("id >= 160")
-    sequence = TextSequence.fit(train, "payload", "label", width=1 << 12, iterations=15)
+    sequence = TextSequence.fit(train, "payload", "label", rounds=2)
     sequence = sequence.with_threshold(test, "label", 0.8)
     baseline = TextBaseline.fit(train, "payload", "label", iterations=15)
     scored = baseline.score(sequence.score(test))
