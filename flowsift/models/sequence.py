@@ -64,7 +64,7 @@ class Alphabet:
         at = np.searchsorted(self.points, distinct)
         known = np.isin(distinct, self.points)
         codes = np.where(known, CLASSES + at, [0 if k else _class_of(chr(p)) for p, k in zip(distinct, known)])[where]
-        padded = np.concatenate([np.zeros(ORDER, np.int64), codes])
+        padded = np.concatenate([np.zeros(ORDER, np.int64), codes.astype(np.int64)])
         cell = np.zeros(len(codes), np.int64)
         for i in range(ORDER + 1):
             cell = cell * self.size + padded[i : i + len(codes)]

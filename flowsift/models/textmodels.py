@@ -113,7 +113,7 @@ class TextSequence:
         chain = SwitchingChain.fit(train, text, label, listed, rounds)
         data = cls._vectors(train.select(text, y.alias("__y"), weight.alias("weight")), chain, text)
         data = stage(data.select("__v", "__y", "weight"), "sequence-odds")
-        model = reloaded(_logistic("weight", iterations, RIDGE).fit(data), train.sparkSession)
+        model = reloaded(_logistic("weight", iterations, RIDGE).setStandardization(True).fit(data), train.sparkSession)
         return cls(chain, model, text)
 
     def score(self, df: DataFrame, out: str = "text_proba") -> DataFrame:

@@ -112,6 +112,7 @@ def test_odd_texts(spark):
     got = model.score(df).collect()
     assert len(got) == 6 and all(0 <= r["text_proba"] <= 1 and r["__own"] == 1 for r in got)
     assert len({r["text_proba"] for r in got if not r["payload"]}) == 1
+    assert sorted(map(str, model.score(df.coalesce(1)).collect())) == sorted(map(str, got))
     assert model.score(df.limit(0)).count() == 0
     for part in (df.where("label = 1"), df.limit(0)):
         alone = SwitchingChain.fit(part, "payload", "label", rounds=1)
