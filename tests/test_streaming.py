@@ -130,3 +130,22 @@ def test_streamed_quantiles_equal_batch(spark, arrivals):
     both = got.join(exact, keys, "full")
     assert both.count() > 50
     assert both.where("value IS NULL OR exact IS NULL OR abs(value - exact) > 0.01 * exact + 1e-9").count() == 0
+
+
+def test_latency_without_a_duration_is_not_counted(spark, tmp_path):
+    """Zero and negative values are in no bucket of the SQL; a day of nothing else has no row."""
+    import duckdb
+
+    from flowsift.catalog import load
+
+    queries, oracles = load()
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i, day + dt.timedelta(hours=i % 30), "view", v) for i, v in enumerate([0.0, -2.0, 1e-12, 3.0, 250.0] * 12)]
+    rows += [(100, day + dt.timedelta(days=5), "click", 0.0), (101, day + dt.timedelta(days=5), "view", 7.0)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string, value double").write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    want = con.execute(oracles["stream_latency_p99"]).fetchall()
+    assert sorted(map(tuple, queries["stream_latency_p99"](spark, str(tmp_path)).collect())) == sorted(want)
