@@ -293,3 +293,47 @@ def test_training_is_recorded(spark, tmp_path):
     rows = {(r["kind"], r["name"]): r["value"] for r in read_runs(spark, path).collect()}
     assert rows["param", "rounds"] == "200" and rows["metric", "pr_auc"] == "0.9" and rows["tag", "passed"] == "False"
     assert ("metric", "mcc") not in rows
+
+
+def test_batch_margins_equal_mllib(spark):
+    """Trees of more than 64 leaves, values that equal a cut, and NaN."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from flowsift.models.classifier import AttackClassifier, TreeSettings
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 400, (3000, 3)).astype(float)
+    kinds = np.array(["BENIGN", "DoS", "PortScan"])[((x[:, 0] * 7 + x[:, 1] * x[:, 2]) % 97 // 33).astype(int)]
+    rows = spark.createDataFrame([(*map(float, r), str(k)) for r, k in zip(x, kinds)], "a double, b double, c double, label string")
+    settings = TreeSettings(rounds=4, max_depth=9)
+    model = AttackClassifier.fit(rows, None, ["a", "b", "c"], "label", settings)
+    assert any(len(w) > 4 for w in model._ensemble.models)
+    odd = spark.createDataFrame([(float("nan"), 1.0, 2.0, None), (0.0, float("inf"), float("nan"), None)], rows.schema)
+    data = rows.unionByName(odd)
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="v", handleInvalid="keep").transform(data)
+    parts = []
+    for m in model.models:
+        scored = m.copy({m.featuresCol: "v"}).transform(vectors).select(vector_to_array("probability")[1].alias("p"))
+        parts.append([r["p"] for r in scored.collect()])
+    want = np.array(parts).T
+    got = np.array([r["probabilities"] for r in model.proba(data).collect()])
+    assert np.allclose(got, want / want.sum(axis=1, keepdims=True), rtol=0, atol=1e-12)
+
+
+def test_queries_fit_only_the_models_they_use(spark, sf, monkeypatch):
+    from flowsift.catalog import models
+    from flowsift.plans import train
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("fitted for nothing")
+
+    fresh = models.Fitted(spark, sf)
+    for name in ("train_baseline", "train_forest", "train_classifier"):
+        monkeypatch.setattr(train, name, refuse)
+    monkeypatch.setattr(models, "fitted", lambda *_: fresh)
+    assert models.text_threshold(spark, sf).count() == 1
+    monkeypatch.undo()
+    monkeypatch.setattr(models, "fitted", lambda *_: fresh)
+    monkeypatch.setattr(train, "train_classifier", refuse)
+    assert models.anomaly_score(spark, sf).count() > 0
