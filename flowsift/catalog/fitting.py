@@ -16,7 +16,7 @@ from flowsift.operators import fitting
 from flowsift.operators.clean import inf_to_null
 from flowsift.plans.preprocess import preprocess_flows, split_flows
 from flowsift.schema import FLOW_FEATURES
-from flowsift.session import scratch_dir
+from flowsift.session import scratch_dir, stage
 from flowsift.sources import views
 from flowsift.sources.views import FLOW_COLS, FLOW_KEYS, WIDE_FROM
 
@@ -27,6 +27,11 @@ def folded(spark: SparkSession, sf: str) -> DataFrame:
     return inf_to_null(views.flows(spark, sf), FLOW_COLS)
 
 
+def folded_once(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Columns of the folded flows, written once: the join behind them is not repeated by every pass of a fit."""
+    return stage(folded(spark, sf).select(*columns), "folded")
+
+
 def fills_table(spark: SparkSession, fills: Mapping[str, float], digits: int = 3) -> DataFrame:
     return spark.createDataFrame([(c, round(float(v), digits)) for c, v in fills.items()], "feature string, fill double")
 
@@ -43,7 +48,7 @@ def stats(expr: str, source: str, prefix: str) -> str:
 
 @query("fit_impute_median", with_views(per_feature("round(median(@), 3) AS fill"), "folded"))
 def fit_impute_median(spark: SparkSession, sf: str) -> DataFrame:
-    return fills_table(spark, fitting.fit_imputer(folded(spark, sf), FLOW_COLS, "median"))
+    return fills_table(spark, fitting.fit_imputer(folded_once(spark, sf, *FLOW_COLS), FLOW_COLS, "median"))
 
 
 @query("fit_impute_mean", with_views(per_feature("round(avg(@), 3) AS fill"), "folded"))
@@ -77,13 +82,13 @@ _filled = "SELECT " + ", ".join([*FLOW_KEYS, *[f"coalesce({c}, m_{c}) AS {c}" fo
     ),
 )
 def apply_impute(spark: SparkSession, sf: str) -> DataFrame:
-    df = folded(spark, sf)
+    df = folded_once(spark, sf, *FLOW_KEYS, *FLOW_COLS)
     filled = fitting.apply_imputer(df, fitting.fit_imputer(df, FLOW_COLS))
     return filled.select(*FLOW_KEYS, *[F.round(c, 4).alias(c) for c in FLOW_COLS])
 
 
 def scaler_table(spark: SparkSession, sf: str, kind: str) -> DataFrame:
-    df = folded(spark, sf)
+    df = folded_once(spark, sf, *FLOW_COLS)
     filled = fitting.apply_imputer(df, fitting.fit_imputer(df, FLOW_COLS))
     scaler = fitting.fit_scaler(filled, FLOW_COLS, kind)
     return spark.createDataFrame(
@@ -137,7 +142,7 @@ def _wide_cell(i: int) -> str:
 )
 def fit_scale_robust_wide(spark: SparkSession, sf: str) -> DataFrame:
     """The robust scaler over the whole feature table."""
-    scaler = fitting.fit_scaler(views.wide_flows(spark, sf), FLOW_FEATURES, "robust")
+    scaler = fitting.fit_scaler(views.wide_flows(spark, sf, stage), FLOW_FEATURES, "robust")
     rows = [(c, round(center, 3), round(scale, 3)) for c, (center, scale) in scaler.items()]
     return spark.createDataFrame(rows, "feature string, center double, scale double")
 
@@ -162,7 +167,7 @@ _scales = "SELECT " + ", ".join(f"avg({c}) AS c_{c}, stddev_pop({c}) AS s_{c}" f
     with_views(_scaled("filled, scales"), "folded", fills=_fills, filled=_filled, scales=_scales + "filled"),
 )
 def apply_scale(spark: SparkSession, sf: str) -> DataFrame:
-    df = folded(spark, sf)
+    df = folded_once(spark, sf, *FLOW_KEYS, *FLOW_COLS)
     filled = fitting.apply_imputer(df, fitting.fit_imputer(df, FLOW_COLS))
     scaled = fitting.apply_scaler(filled, fitting.fit_scaler(filled, FLOW_COLS, "standard"))
     return scaled.select(*FLOW_KEYS, *[F.round(c, 4).alias(c) for c in FLOW_COLS])

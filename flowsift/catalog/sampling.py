@@ -19,6 +19,7 @@ from flowsift.functions.labels import binary_target
 from flowsift.functions.numeric import INF
 from flowsift.operators import sampling
 from flowsift.operators.clean import inf_to_null
+from flowsift.session import stage
 from flowsift.sources import views
 from flowsift.sources.views import FLOW_COLS, FLOW_KEYS, SIGNAL_COLS
 
@@ -26,8 +27,13 @@ KEYS = commas(FLOW_KEYS)
 SEED = 42
 
 
+def flows_once(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Columns of the flows, written once: the join behind them is not repeated by every pass over keys."""
+    return stage(views.flows(spark, sf).select(*columns), "flows")
+
+
 def split_flows(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.stratified_split(views.flows(spark, sf), ["label"], FLOW_KEYS, 0.2, 0.1, SEED)
+    return sampling.stratified_split(flows_once(spark, sf, *FLOW_KEYS, "label"), ["label"], FLOW_KEYS, 0.2, 0.1, SEED)
 
 
 @query("union_rows", with_views(f"SELECT {KEYS}, bytes FROM flows UNION ALL SELECT {KEYS}, bytes FROM flows_dup", "flows_dup"))
@@ -88,7 +94,7 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def stratified_kfold(spark: SparkSession, sf: str) -> DataFrame:
-    flows = views.flows(spark, sf).select(*FLOW_KEYS, "label")
+    flows = flows_once(spark, sf, *FLOW_KEYS, "label")
     return sampling.kfold(flows, "label", FLOW_KEYS, 5, SEED)
 
 
@@ -104,7 +110,7 @@ def stratified_kfold(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def sample_with_replacement(spark: SparkSession, sf: str) -> DataFrame:
-    flows = views.flows(spark, sf).select(*FLOW_KEYS)
+    flows = flows_once(spark, sf, *FLOW_KEYS)
     drawn = sampling.draw_rows(flows, FLOW_KEYS, flows.count() // 50, SEED)
     return drawn.groupBy(*FLOW_KEYS).agg(F.count(F.lit(1)).alias("times"))
 
@@ -127,7 +133,7 @@ _shares = ", ".join(f"({text(k)}, {v}::DOUBLE)" for k, v in MIX.items())
     ),
 )
 def resample_to_mix(spark: SparkSession, sf: str) -> DataFrame:
-    flows = views.flows(spark, sf).select(*FLOW_KEYS, "label")
+    flows = flows_once(spark, sf, *FLOW_KEYS, "label")
     return sampling.resample_to_mix(flows, "label", MIX, flows.count() // 3, FLOW_KEYS, SEED)
 
 
@@ -151,7 +157,7 @@ _PROBED = ["bytes", "duration", "total_price"]
     ),
 )
 def corrupt_cells(spark: SparkSession, sf: str) -> DataFrame:
-    bad = sampling.corrupt_cells(views.flows(spark, sf), _PROBED, 0.01, FLOW_KEYS, SEED)
+    bad = sampling.corrupt_cells(flows_once(spark, sf, *FLOW_KEYS, *_PROBED), _PROBED, 0.01, FLOW_KEYS, SEED)
     return bad.select(
         *FLOW_KEYS,
         *[

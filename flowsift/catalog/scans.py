@@ -11,7 +11,7 @@ from flowsift.operators.clean import inf_to_null
 from flowsift.operators.fitting import Preprocessor
 from flowsift.operators.sampling import stratified_split
 from flowsift.operators.vocab import build_vocabulary
-from flowsift.session import scratch_dir
+from flowsift.session import scratch_dir, stage
 from flowsift.sources import flows as scan
 from flowsift.sources import tables, views
 from flowsift.sources.views import FLOW_COLS, FLOW_KEYS
@@ -162,7 +162,7 @@ def materialize_if_absent(spark: SparkSession, sf: str) -> DataFrame:
 )
 def scan_split(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "splits")
-    folded = inf_to_null(views.flows(spark, sf), FLOW_COLS)
+    folded = stage(inf_to_null(views.flows(spark, sf), FLOW_COLS), "folded")
     stratified_split(folded, ["label"], FLOW_KEYS, 0.2, 0.1, 42).write.partitionBy("split").parquet(path)
     train = scan.read_split(spark, path, "train", ["label", "bytes"])
     return train.groupBy("label").agg(
@@ -188,7 +188,7 @@ _fits = " UNION ALL ".join(
 )
 def sink_params(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "params")
-    tables.save_params(Preprocessor(tuple(FLOW_COLS)).fit(views.flows(spark, sf)), spark, path)
+    tables.save_params(Preprocessor(tuple(FLOW_COLS)).fit(stage(views.flows(spark, sf).select(*FLOW_COLS), "flows")), spark, path)
     table = tables.load_params(spark, path).to_table(spark)
     return table.select("position", "feature", *[F.round(c, 3).alias(c) for c in ("fill", "center", "scale")])
 

@@ -183,3 +183,42 @@ def test_weights(spark):
 def test_minmax_average(spark):
     df = spark.createDataFrame([(0.0, 5.0), (10.0, 5.0)], "a double, b double")
     assert [r["average"] for r in fitting.minmax_average(df, ["a", "b"]).orderBy("a").collect()] == [0.0, 0.5]
+
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["fit_impute_median", "apply_impute", "fit_scale_standard", "fit_scale_robust", "fit_scale_robust_wide", "apply_scale", "sink_params"]
+    + ["stratified_split3", "resample_to_mix", "corrupt_cells", "scan_split", "split_counts"],
+)
+def test_flows_are_joined_once(spark, sf, monkeypatch, name):
+    """The passes of a fit or a split read what one join wrote."""
+    from flowsift.catalog import load
+    from flowsift.sources import views
+
+    made = []
+    plain = views.flows
+
+    def watched(*args):
+        seen = spark.sparkContext.accumulator(0)
+        made.append(seen)
+
+        @F.udf("bigint")
+        def count(key):
+            seen.add(1)
+            return key
+
+        return plain(*args).withColumn("k_order", count.asNondeterministic()("k_order"))
+
+    monkeypatch.setattr(views, "flows", watched)
+    load()[0][name](spark, sf).collect()
+    assert sum(seen.value for seen in made) <= spark.read.parquet(f"{sf}/lineitem.parquet").count()
+
+
+def test_quantiles_of_both_signs_and_ends(spark):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(0, 1e3, 4000), rng.normal(0, 1e-300, 50), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308]])
+    df = spark.createDataFrame([(float(v), None) for v in values] + [(float("nan"), None)], "x double, y double")
+    probs = [0.0, 0.01, 0.4999, 0.5, 0.51, 0.99, 1.0]
+    got = fitting.column_quantiles(df.repartition(5), ["x", "y"], probs, 3)
+    assert np.allclose(got["x"], np.quantile(values, probs), rtol=1e-12, atol=0) and got["y"] == [None] * len(probs)
