@@ -145,3 +145,16 @@ def test_baseline_equals_a_dense_fit(spark):
     want = 1 / (1 + np.exp(-x @ w))
     assert len(model.stages.stages[0].vocabulary) == len(terms)
     assert all(got[i] == pytest.approx(want[i], abs=1e-6) for i in range(60))
+
+
+def test_cells_are_ordered_once_for_both_regimes(monkeypatch):
+    """A batch of texts is sorted once a label, whatever the number of regimes."""
+    from flowsift.models import sequence
+
+    calls = []
+    plain = np.unique
+    monkeypatch.setattr(sequence.np, "unique", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    cells = [np.arange(5), np.arange(3)]
+    found = list(sequence._expect(None, cells, np.array([0, 1])))
+    assert len(calls) == 4
+    assert [(r, y, float(n.sum())) for r, y, _, n, _ in found] == [(0, 0, 5.0), (0, 1, 3.0), (1, 0, 5.0), (1, 1, 3.0)]
