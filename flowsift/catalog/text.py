@@ -11,6 +11,7 @@ from flowsift.catalog.sql import text as quoted_text
 from flowsift.catalog.sql import with_views
 from flowsift.functions import text
 from flowsift.operators import vocab
+from flowsift.operators.grams import gram_counts, gram_text
 from flowsift.operators.joins import spread
 from flowsift.sources import views
 
@@ -127,9 +128,10 @@ GRAMS = {
 def char_wb_ngrams(spark: SparkSession, sf: str) -> DataFrame:
     """Corpus counts; counted per text first, so no term's texts are gathered."""
     texts = spread(views.payloads(spark, sf).select("doc_id", "payload"), "doc_id")
-    grams = texts.select("doc_id", F.explode(text.char_ngrams(F.col("payload"))).alias("term"))
-    per_text = grams.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
-    return per_text.groupBy("term").agg(F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("texts"))
+    grams = texts.select("doc_id", F.inline(gram_counts(F.col("payload"))).alias("g", "n"))
+    per_text = grams.groupBy("doc_id", "g").agg(F.sum("n").alias("n"))
+    counts = per_text.groupBy("g").agg(F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("texts"))
+    return counts.select(gram_text(F.col("g")).alias("term"), "occurrences", "texts")
 
 
 @query(
