@@ -3,7 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from flowsift.operators import vocab
+from flowsift.functions.text import char_ngrams
+from flowsift.operators import grams, vocab
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +67,28 @@ def test_token_counts_do_not_depend_on_partitions(corpus):
     b = vocab.token_counts(corpus.repartition(7), "t")
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.agg(F.sum("freq")).first()[0] == 18
+
+
+@pytest.mark.parametrize("low, high", [(1, 3), (1, 1), (2, 3), (3, 3)])
+def test_counted_grams_equal_the_pattern(spark, low, high, monkeypatch):
+    wide = "".join(chr(0x4E00 + i) for i in range(20_000))
+    texts = ["ls -la", "", None, "  a\t b\n\nc ", "\x00a \x00\x00 a\x00", "\u2003\u00a0", "İß Σας \U0001F600x", "a" * 70_000, wide + "\U0010FFFF", "x\u0085\x1cy"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").coalesce(1)
+    got = df.select("id", F.inline(grams.gram_counts(F.col("t"), low, high)).alias("g", "n"))
+    got = got.select("id", grams.gram_text(F.col("g")).alias("term"), "n")
+    want = df.select("id", F.explode(char_ngrams(F.coalesce("t", F.lit("")), low, high)).alias("term"))
+    want = want.groupBy("id", "term").agg(F.count("*").cast("int").alias("n"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_tfidf_ways_agree(spark, corpus):
+    """Terms listed in tasks, joined, and patterns for longer grams; a repeated key is one text."""
+    def key(df):
+        return sorted((r["id"], r["term"], round(r["weight"], 12)) for r in df.collect())
+
+    assert key(vocab.tfidf(corpus, "id", "t")) == key(vocab.tfidf(corpus, "id", "t", most=0))
+    doubled = corpus.unionByName(corpus.where("id = 0").withColumn("t", F.lit("cat la")))
+    got = vocab.tfidf(doubled, "id", "t")
+    assert got.groupBy("id", "term").count().where("count > 1").count() == 0
+    assert all(abs(r[0] - 1) < 1e-9 for r in got.groupBy("id").agg(F.sum(F.col("weight") ** 2)).select("sum(POWER(weight, 2))").collect())
+    assert vocab.tfidf(corpus, "id", "t", low=1, high=4).where("length(term) = 4").count() == 2
