@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.functions.text import char_ngrams
 from flowsift.models.persist import reloaded
 from flowsift.models.sequence import SwitchingChain
 from flowsift.operators.evaluate import threshold_at_recall
 from flowsift.operators.fitting import class_weights
+from flowsift.operators.grams import Vocabulary, count_grams, gram_counts, gram_text, gram_vectors, packed, unit_weights
 from flowsift.session import stage
 from flowsift.sources.tables import write_table
 
@@ -61,31 +64,50 @@ class TextBaseline:
 
         Rows labelled neither 0 nor 1 are left out.
         """
+        spark = train.sparkSession
         train = train.where(F.col(label).cast("double").isin(0.0, 1.0))
         data = class_weights(train.select(text, label), label).withColumn("__y", F.col(label).cast("double"))
-        # written once: vocabulary, document frequencies and every step of the fit read it
-        data = stage(_with_grams(data, text).select("__terms", "__y", "weight"), "baseline-terms")
-        counted = CountVectorizer(inputCol="__terms", outputCol="__tf", minDF=float(min_df), vocabSize=terms).fit(data)
-        counts = counted.transform(data).select("__tf", "__y", "weight")
-        idf = IDF(inputCol="__tf", outputCol="__x").fit(counts)
-        # MLlib's idf lacks the +1 of the smooth form
-        smooth = np.asarray(idf.idf.toArray()) + 1.0
+        # written once: vocabulary, document frequencies and vectors read it
+        data = stage(data.select(gram_counts(F.col(text)).alias("grams"), "__y", "weight"), "baseline-terms")
+        whole = data.agg(F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("weight")).head()
+        counts = data.select(F.inline("grams")).groupBy("g").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df"))
+        kept = counts.where(F.col("df") >= min_df).orderBy(F.desc("n"), "g").limit(terms).toArrow()
+        listed = spark.createDataFrame(pa.table({"g": kept["g"]})).select(F.array(gram_text(F.col("g"))).alias("__terms"))
+        counted = CountVectorizer(inputCol="__terms", outputCol="__tf", vocabSize=terms).fit(listed)
+        # the model has the terms in an order of its own
+        grams, found = packed(counted.vocabulary), kept["g"].to_numpy()
+        order = np.argsort(found)
+        df = kept["df"].to_numpy()[order][np.searchsorted(found[order], grams)]
+        smooth = np.log((whole["rows"] + 1.0) / (df + 1.0)) + 1.0
         weigh = ElementwiseProduct(inputCol="__tf", outputCol="__x", scalingVec=Vectors.dense(smooth))
         unit = Normalizer(inputCol="__x", outputCol="__v", p=2.0)
-        vectors = stage(unit.transform(weigh.transform(counts)).select("__v", "__y", "weight"), "baseline-vectors")
-        whole = vectors.agg(F.sum("weight")).head()[0] or 1.0
-        model = _logistic("weight", iterations, 1.0 / whole).setTol(tolerance).fit(vectors)
-        return cls(PipelineModel([counted, weigh, unit, reloaded(model, train.sparkSession)]), text)
+        vectors = stage(data.select(gram_vectors(spark, F.col("grams"), grams, smooth).alias("__v"), "__y", "weight"), "baseline-vectors", vectors=["__v"])
+        model = _logistic("weight", iterations, 1.0 / (whole["weight"] or 1.0)).setTol(tolerance).fit(vectors)
+        return cls(PipelineModel([counted, weigh, unit, reloaded(model, spark)]), text)
 
-    def score(self, df: DataFrame, out: str = "baseline_proba") -> DataFrame:
-        keep = df.columns
-        return self.stages.transform(_with_grams(df, self.text)).select(
-            *keep, vector_to_array("__proba")[1].alias(out)
-        )
+    @cached_property
+    def _weights(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        counted, weigh, _, model = self.stages.stages
+        idf, odds = weigh.getScalingVec().toArray(), model.coefficients.toArray()
+        return packed(counted.vocabulary), idf, odds, model.intercept
 
-
-def _with_grams(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("__terms", char_ngrams(F.coalesce(F.col(text), F.lit("")), 1, 3))
+    def score(self, df: DataFrame, out: str = "baseline_proba") -> DataFrame:
+        """The probability of label 1 as ``stages`` have it, from grams counted by whole batches."""
+        shared = df.sparkSession.sparkContext.broadcast(self._weights)
+
+        @F.arrow_udf("double")
+        def proba(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            terms, idf, odds, intercept = shared.value
+            vocabulary = Vocabulary(terms)
+            for batch in batches:
+                margins = [np.zeros(0)]
+                for texts, counts in count_grams(batch.to_pylist()):
+                    owner, term, weight = unit_weights(vocabulary, idf, counts, texts)
+                    margins.append(np.bincount(owner, weight * odds[term], texts))
+                with np.errstate(over="ignore"):
+                    yield pa.array(1.0 / (1.0 + np.exp(-(np.concatenate(margins) + intercept))))
+
+        return df.select("*", proba(F.lower(F.coalesce(F.col(self.text), F.lit("")))).alias(out))
 
 
 @dataclass(frozen=True)

@@ -179,3 +179,22 @@ def gram_weights(spark: SparkSession, grams: Column, terms: np.ndarray, idf: np.
             yield _lists(owner, len(batch), g=listed[term], w=w)
 
     return weighed(grams)
+
+
+def gram_vectors(spark: SparkSession, grams: Column, terms: np.ndarray, idf: np.ndarray) -> Column:
+    """From counted grams the sparse vector of their weights, as the struct that a vector is stored as."""
+    shared = spark.sparkContext.broadcast((terms, idf))
+
+    @F.arrow_udf("struct<type: tinyint, size: int, indices: array<int>, values: array<double>>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        listed, weights = shared.value
+        vocabulary = Vocabulary(listed)
+        for batch in batches:
+            owner, term, w = unit_weights(vocabulary, weights, opened(batch), len(batch))
+            order = np.lexsort((term, owner))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(batch)))]).astype(np.int32)
+            parts = [np.zeros(len(batch), np.int8), np.full(len(batch), len(listed), np.int32)]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v[order])) for v in (term.astype(np.int32), w)]
+            yield pa.StructArray.from_arrays([*map(pa.array, parts), *lists], ["type", "size", "indices", "values"])
+
+    return vectors(grams)

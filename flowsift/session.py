@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "flowsift") -> SparkSession:
@@ -48,11 +51,12 @@ def _local_scratch(spark: SparkSession) -> str:
     return _folders[context.applicationId]
 
 
-def stage(df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, purpose: str, partition_by: str | None = None, vectors: Sequence[str] = ()) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Used where several later jobs read the same intermediate result. The written table cuts the
     lineage, survives lost executors and keeps column pruning and filter pushdown for its readers.
+    ``vectors`` are columns of a vector's struct that are read as vectors.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
@@ -60,4 +64,5 @@ def stage(df: DataFrame, purpose: str, partition_by: str | None = None) -> DataF
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    fields = [T.StructField(f.name, VectorUDT()) if f.name in vectors else f for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

@@ -158,3 +158,19 @@ def test_cells_are_ordered_once_for_both_regimes(monkeypatch):
     found = list(sequence._expect(None, cells, np.array([0, 1])))
     assert len(calls) == 4
     assert [(r, y, float(n.sum())) for r, y, _, n, _ in found] == [(0, 0, 5.0), (0, 1, 3.0), (1, 0, 5.0), (1, 1, 3.0)]
+
+
+def test_baseline_scores_as_its_stages_do(spark):
+    """Whole batches are scored by number; MLlib's stages over the terms of the pattern give the same."""
+    from pyspark.ml.functions import vector_to_array
+
+    from flowsift.functions.text import char_ngrams
+
+    rows = [(i, t, i % 2) for i, t in enumerate(["ls -la", "cat /etc/shadow", "ls", "cat x", "", "İß \U0001F600", None, "cat cat"])]
+    df = spark.createDataFrame(rows, "id int, payload string, label int")
+    model = TextBaseline.fit(df, "payload", "label", iterations=20)
+    terms = df.withColumn("__terms", char_ngrams(F.coalesce("payload", F.lit("")), 1, 3))
+    want = model.stages.transform(terms).select("id", vector_to_array("__proba")[1].alias("p"))
+    got = {r["id"]: r["baseline_proba"] for r in model.score(df).collect()}
+    assert got == {r["id"]: pytest.approx(r["p"], abs=1e-12) for r in want.collect()}
+    assert "ArrowEvalPython" in model.score(df)._jdf.queryExecution().toString()
