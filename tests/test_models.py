@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +35,31 @@ def test_expected_path():
     assert expected_path(256) == pytest.approx(10.244, abs=1e-3)
 
 
+def test_forest_scores_follow_its_nodes(spark):
+    """Every row ends in the leaf that its nodes lead to; NULL and NaN go right, a value on a cut left."""
+    x = [(i, float(i % 13), None if i % 9 == 0 else math.nan if i % 7 == 0 else i / 3) for i in range(300)]
+    df = spark.createDataFrame(x, "id long, a double, b double")
+    model = IsolationForest.fit(df.fillna(0.0), ["a", "b"], ["id"], trees=5, max_samples=32, seed=1)
+    nodes = {(n.tree, n.node): n for n in model.nodes.itertuples()}
+    cut = next(n for n in nodes.values() if n.feature == 0)
+    df = df.unionByName(spark.createDataFrame([(300, cut.threshold, 1.0)], df.schema))
+
+    def by_hand(row):
+        total = 0.0
+        for tree in range(5):
+            n = nodes[tree, 0]
+            while n.feature >= 0:
+                v = row[1 + n.feature]
+                n = nodes[tree, n.left_node if v is not None and v <= n.threshold else n.right_node]
+            total += n.path
+        return 2.0 ** -(total / 5 / expected_path(32))
+
+    got = {r["id"]: r["s"] for r in df.withColumn("s", model.raw_score(spark)).collect()}
+    assert got == {r["id"]: pytest.approx(by_hand(r), rel=1e-12) for r in df.collect()}
+    levelled = model._levelled()
+    assert levelled[1] <= 5 and len(levelled[2]) == 5
+
+
 def test_forest_finds_planted_outliers(spark, outliers, forest):
     scored = outliers.withColumn("s", forest.raw_score(spark))
     low, high = scored.agg(F.min("s"), F.max("s")).first()
