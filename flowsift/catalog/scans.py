@@ -163,7 +163,8 @@ def materialize_if_absent(spark: SparkSession, sf: str) -> DataFrame:
 def scan_split(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "splits")
     folded = stage(inf_to_null(views.flows(spark, sf), FLOW_COLS), "folded")
-    stratified_split(folded, ["label"], FLOW_KEYS, 0.2, 0.1, 42).write.partitionBy("split").parquet(path)
+    parts = stratified_split(folded, ["label"], FLOW_KEYS, 0.2, 0.1, 42)
+    parts.write.option("compression", "zstd").partitionBy("split").parquet(path)
     train = scan.read_split(spark, path, "train", ["label", "bytes"])
     return train.groupBy("label").agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("bytes"), 2).alias("sum_bytes")

@@ -165,3 +165,16 @@ def test_checked_flows_of_one_file(spark, tmp_path):
     flows, rejects = scan.read_flows_checked(spark, str(tmp_path / "a.csv"), ["x", "y"])
     assert sorted(map(tuple, flows.collect())) == [(1.0, 2.0, "Botnet"), (6.0, None, "BENIGN")]
     assert [r["reason"] for r in rejects.collect()] == ["too many cells"]
+
+
+def test_written_tables_are_packed(spark, sf, monkeypatch, tmp_path):
+    """Staged tables, and the splits that ``scan_split`` writes, take zstd."""
+    from flowsift import session
+    from flowsift.catalog import scans
+
+    monkeypatch.setattr(session, "scratch_dir", lambda *_: f"{tmp_path}/staged")
+    monkeypatch.setattr(scans, "scratch_dir", lambda *_: f"{tmp_path}/splits")
+    assert scans.scan_split(spark, sf).count() == 8
+    files = [p for p in tmp_path.rglob("*.parquet") if p.is_file()]
+    assert {p.relative_to(tmp_path).parts[0] for p in files} == {"staged", "splits"}
+    assert all(p.name.endswith(".zstd.parquet") for p in files)
