@@ -268,8 +268,9 @@ def allocate(shared: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, members: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs that are linked, by exact intersection."""
-    left = members.select(F.col("set_key").alias("a"), F.col("members").alias("members_a"))
+    """The pairs that are linked, by exact intersection; sets without a pair are not moved."""
+    paired = members.join(pairs.select(F.col("a").alias("set_key")), "set_key", "left_semi")
+    left = paired.select(F.col("set_key").alias("a"), F.col("members").alias("members_a"))
     right = members.select(F.col("set_key").alias("b"), F.col("members").alias("members_b"))
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("members_a", "members_b"))
@@ -304,30 +305,56 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
 
 
-def _spare(touched: DataFrame, members: DataFrame, labels: DataFrame, sizes: DataFrame, bands: Bands) -> DataFrame:
-    """``set_key, spare``: two sets of different components can only be linked if their spares add up to 0 or more.
+def _prefixes(touched: DataFrame, members: DataFrame, labels: DataFrame, bands: Bands) -> DataFrame:
+    """``member, set_key, component, size, remaining``: the members by which a set can meet sets of other components.
 
-    Members that no set of another component has lie outside every common part. Linked sets differ in at
-    most (den - num) / (den + num) of their sizes, of which a set's own such members use up a part. Of the
-    sets of one component that share such a member, the first and last by name are credited with it.
+    Members are ordered from those that fewest sets have, and ``remaining`` counts a set's members from this
+    one on. All that two sets have in common remains at their first common member, which therefore stands
+    near the beginning of either if they are linked. Members that no set of another component has come
+    before all others and are not listed.
     """
-    held = members.join(touched, "set_key", "left_semi")
-    rows = _labelled(held, labels).select("set_key", "component", F.explode("members").alias("member"))
-    facts = [f(c).alias(n) for c, f, n in (("component", F.min, "low"), ("component", F.max, "high"), ("set_key", F.min, "a"), ("set_key", F.max, "b"))]
-    alone = rows.groupBy("member").agg(*facts).where("low = high").select(F.explode(F.array_distinct(F.array("a", "b"))).alias("set_key"))
-    counts = alone.groupBy("set_key").agg(F.count("*").alias("alone"))
-    known = sizes.join(touched, "set_key", "left_semi").join(counts, "set_key", "left")
-    spare = F.col("n_shingles") * (bands.den - bands.num) - F.coalesce("alone", F.lit(0)) * (bands.den + bands.num)
-    return stage(known.select("set_key", spare.alias("spare")), "jaccard-spare")
+    held = _labelled(members.join(touched, "set_key", "left_semi"), labels)
+    rows = held.select("set_key", "component", F.size("members").alias("size"), F.explode("members").alias("member"))
+    facts = [F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n_sets")]
+    several = rows.groupBy("member").agg(*facts).where("low < high").select("member", "n_sets")
+    # a set may be held more than once; its ranks must not count that
+    commonest = Window.partitionBy("set_key").orderBy(F.desc("n_sets"), "member")
+    ranked = rows.join(several, "member").withColumn("remaining", F.dense_rank().over(commonest))
+    first = ranked.where(F.col("remaining") * bands.den >= F.col("size") * bands.num)
+    return stage(first.select("member", "set_key", "component", "size", "remaining"), "jaccard-prefixes")
+
+
+def _pairs(met: DataFrame, bands: Bands) -> DataFrame:
+    """Of sets that meet at a member, the pairs ``a, b`` of different components that can be linked by what remains."""
+    enough = F.least("remaining", "other_remaining") * (bands.num + bands.den) >= (F.col("size") + F.col("other_size")) * bands.num
+    fit = met.where((F.col("component") != F.col("foreign")) & enough)
+    return fit.select(F.least("set_key", "other").alias("a"), F.greatest("set_key", "other").alias("b")).distinct()
+
+
+def _stars(prefixes: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs of every set with the one that has most left at a member: no more than there are rows."""
+    hub = F.struct("set_key", "component", "size", "remaining")
+    order = F.struct(F.col("remaining") * (bands.num + bands.den) - F.col("size") * bands.num, "set_key")
+    hubs = prefixes.groupBy("member").agg(F.max_by(hub, order).alias("hub"))
+    hubs = hubs.select("member", "hub.*").toDF("member", "other", "foreign", "other_size", "other_remaining")
+    return _pairs(prefixes.join(hubs, "member"), bands)
+
+
+def _candidates(prefixes: DataFrame, labels: DataFrame, bands: Bands) -> DataFrame:
+    """All pairs that can still be linked, once components are as in ``labels``."""
+    rows = _labelled(prefixes.drop("component"), labels)
+    others = rows.select("member", "set_key", "component", "size", "remaining").toDF("member", "other", "foreign", "other_size", "other_remaining")
+    return _pairs(rows.join(others, "member").where("component < foreign"), bands)
 
 
 def link_sets(docs: DataFrame, sets: DataFrame, bands: Bands, shingle: int, buckets: int) -> DataFrame:
     """Links ``a, b`` between set names, enough to give every component.
 
-    All looked-up signatures first link their sets to the smallest set that has the signature. After
-    that, only pairs whose sets are still in different components are compared, each pair once, and
-    only if what each has alone leaves room for a link: of texts that share a passage but have more of
-    their own, none meets another.
+    All looked-up signatures first link their sets to the smallest set that has the signature. Sets that
+    share a looked-up signature with another component then meet by their rarest members instead, first
+    with one set a member, then, if still in different components, with each other. A link leaves few
+    members different, so variants of one text too far apart to be linked hardly meet at all, however
+    many signatures they share. Each pair is compared once.
     """
     shared = stage(shared_signatures(docs, bands, shingle, buckets), "jaccard-shared")
     looked = stage(allocate(shared, sets, bands), "jaccard-allocated")
@@ -346,21 +373,15 @@ def link_sets(docs: DataFrame, sets: DataFrame, bands: Bands, shingle: int, buck
     members = _members(docs, sets.join(involved, "set_key", "left_semi").select("doc_id"), shingle)
     links = stage(_verify(first, members, bands), "jaccard-links")
     labels = components(links)
-    others = _labelled(shared.select("sig", "set_key", F.col("deleted").alias("other_deleted")), labels)
     # a signature whose sets are all in one component has nothing left to link
-    several = others.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sig")
-    open_ = looked.join(several, "sig", "left_semi")
-    others = others.join(open_.select("sig").distinct(), "sig", "left_semi")
-    touched = open_.select("set_key").union(others.select("set_key")).distinct()
-    spare = _spare(touched, members, labels, sizes, bands)
-    inside = _labelled(open_, labels).join(spare, "set_key").withColumnRenamed("component", "own")
-    others = others.join(spare, "set_key").toDF("other", "sig", "other_deleted", "foreign", "other_spare")
-    roomy, met = inside.where("spare >= 0").join(others, "sig"), inside.where("spare < 0").join(others.where("other_spare >= 0"), "sig")
-    partners = roomy.unionByName(met).where("own != foreign AND spare + other_spare >= 0")
-    by_exact = F.col("by_exact") & ~F.col("other_deleted")
-    by_upgrade = F.col("upgrade") & (F.col("deleted") != F.col("other_deleted"))
-    second = fitting(partners.where(by_exact | by_upgrade).select("set_key", "other")).join(first, ["a", "b"], "left_anti")
-    return stage(links.union(_verify(second, members, bands)), "jaccard-links")
+    met = _labelled(shared.join(looked.select("sig").distinct(), "sig", "left_semi").select("sig", "set_key"), labels)
+    several = met.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sig")
+    touched = met.join(several, "sig", "left_semi").select("set_key").distinct()
+    prefixes = _prefixes(touched, members, labels, bands)
+    second = stage(_stars(prefixes, bands).join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
+    links = stage(links.union(_verify(second, members, bands)), "jaccard-links")
+    last = stage(_candidates(prefixes, components(links), bands).join(first.union(second), ["a", "b"], "left_anti"), "jaccard-pairs")
+    return stage(links.union(_verify(last, members, bands)), "jaccard-links")
 
 
 def _grouped(docs: DataFrame, num: int, den: int, shingle: int, doc_id: str, text: str) -> DataFrame:

@@ -146,3 +146,20 @@ def test_linked_and_unlinked_texts_around_one_passage(spark, monkeypatch):
     texts += [" ".join(edited(rng, t.split(), rng.randint(1, 3))) for t in texts]
     few = compared(spark, monkeypatch, texts)
     assert few < len(texts) * (len(texts) - 1) / 2
+
+
+def test_variants_that_share_most_signatures_hardly_meet(spark, monkeypatch):
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(240):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(2, 11)):
+            words[at] = f"e{rng.randrange(6)}"
+        texts.append(" ".join(words))
+    compared = []
+    verify = jaccard._verify
+    monkeypatch.setattr(jaccard, "_verify", lambda pairs, *rest: compared.append(pairs.count()) or verify(pairs, *rest))
+    assert check(spark, texts) > 20
+    # the first comparison is with one text a signature
+    assert 10 * sum(compared[1:]) < len(texts) * (len(texts) - 1) / 2
