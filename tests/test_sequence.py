@@ -174,3 +174,21 @@ def test_baseline_scores_as_its_stages_do(spark):
     got = {r["id"]: r["baseline_proba"] for r in model.score(df).collect()}
     assert got == {r["id"]: pytest.approx(r["p"], abs=1e-12) for r in want.collect()}
     assert "ArrowEvalPython" in model.score(df)._jdf.queryExecution().toString()
+
+
+def test_cells_of_a_batch_equal_those_of_its_texts():
+    """Texts are cut apart in one pass: no context reaches into the next text, also after empty and odd ones."""
+    alphabet = Alphabet(np.array([97, 98, 233], np.uint32))
+    texts = ["abİc", "", "b", "\ud800a", "", "AB 9中" * 50, "a"]
+    alone = [alphabet.cells(t) for t in texts]
+    assert all(np.array_equal(a, b) for a, b in zip(alphabet.cells_of(texts), alone, strict=True))
+    assert [len(c) for c in alone] == [len(t.lower()) for t in texts] and alphabet.cells_of([]) == []
+
+
+def test_short_pieces_take_few_steps():
+    """A piece is stepped through as far as it reaches, not to the length of the longest."""
+    chunks = sequence.Chunks.of(np.array([3, 0, 300, 1]))
+    assert chunks.owner.tolist() == [0, 2, 2, 2, 3] and chunks.nth.tolist() == [0, 0, 1, 2, 0]
+    assert sum(chunks.on) == 304 and chunks.on[:2] == [5, 4] and len(chunks.on) == sequence.CHUNK
+    assert [t.tolist() for t in chunks.turns()] == [[0, 1, 4], [2], [3]]
+    assert sorted(chunks.place[chunks.valid()].tolist()) == list(range(304))
