@@ -60,6 +60,17 @@ def test_forest_scores_follow_its_nodes(spark):
     assert levelled[1] <= 5 and len(levelled[2]) == 5
 
 
+def test_forest_scores_a_batch_at_once(spark):
+    """A batch is not cut into short runs, whose calls cost more than their rows; trees may be single leaves."""
+    from flowsift.models import forest as forests
+
+    assert forests.ROWS >= int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    same = spark.range(50).selectExpr("id", "1.0D AS x")
+    model = IsolationForest.fit(same, ["x"], ["id"], trees=3, seed=1)
+    assert model._levelled()[1] == 0
+    assert model.score(same).select("anomaly_score").distinct().count() == 1
+
+
 def test_forest_finds_planted_outliers(spark, outliers, forest):
     scored = outliers.withColumn("s", forest.raw_score(spark))
     low, high = scored.agg(F.min("s"), F.max("s")).first()
