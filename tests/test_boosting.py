@@ -62,6 +62,8 @@ def test_trees_do_not_depend_on_order_or_tasks(table, monkeypatch):
     assert any(len(own) > 1 for own in want[1])
     monkeypatch.setattr(boosting, "WRITTEN", 2)
     assert fitted(table.orderBy(F.rand(3)).repartition(5), drawn) == want
+    monkeypatch.setattr(boosting, "ADDED", 0)
+    assert fitted(table.repartition(4), drawn) == want
     monkeypatch.setattr(boosting, "HELD", 1)
     assert fitted(table.repartition(3), drawn) == want
     assert fitted(table, drawn, seed=6) != want
@@ -95,3 +97,13 @@ def test_missing_values_are_refused(spark):
     rows = spark.createDataFrame([(None, 0.0, 1.0, False), (1.0, 1.0, 1.0, False)], "x double, __y double, weight double, __val boolean")
     with pytest.raises(Exception, match="hold NULL or NaN"):
         boost(rows, ["x"], [0, 1], TreeSettings(rounds=1), 1)
+
+
+def test_sums_of_few_tasks_take_no_shuffle(table, monkeypatch):
+    """Every pass is one stage: its sums are small and added by the driver."""
+
+    def refuse(*_):
+        raise AssertionError("shuffled")
+
+    monkeypatch.setattr(boosting.RDD, "reduceByKey", refuse)
+    assert all(len(own) == 3 for own in fitted(table.where("NOT __val"), WHOLE)[1])
